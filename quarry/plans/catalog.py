@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from quarry.plans import agg_queries, search_queries
+from quarry.plans import agg_queries, ingest_queries, search_queries
 
 
 def _modules():
-    return [search_queries, agg_queries]
+    return [search_queries, agg_queries, ingest_queries]
 
 
 def queries() -> dict:
