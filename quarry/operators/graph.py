@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.session import scratch_dir
+
+# rounds after which the visited pieces are merged into one written table
+_CONSOLIDATE_EVERY = 16
 
 
 def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent: str = "parent",
@@ -18,30 +24,42 @@ def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent:
     frontier is empty. ``depth`` is the shortest distance from a root.
 
     The edge table is hash-partitioned on ``child`` and checkpointed once, so
-    every round shuffles only the (small) frontier. Visited set and frontier
-    are checkpointed each round into the shared checkpoint folder: the plan
-    stays short, and a lost executor costs one round, not the whole lineage.
+    every round shuffles only the frontier. Each new frontier is written as a
+    table in the shared checkpoint folder (one job per round, nothing
+    recomputed, lineage cut), and the visited set is the union of those
+    written pieces, merged every few rounds to keep the plan short. A lost
+    executor costs at most the current round.
     """
     spark = edges.sparkSession
-    checkpoint_dir(spark)
+    work = scratch_dir(spark, f"reach-{uuid.uuid4().hex}")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct() \
              .repartition(n, "_c").checkpoint()
-    visited = roots.select(F.col(node).alias("node")).distinct() \
-                   .withColumn("depth", F.lit(0)).checkpoint()
-    frontier = visited
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = f"{work}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    start = written(roots.select(F.col(node).alias("node")).distinct()
+                    .withColumn("depth", F.lit(0)), "round-0")
+    pieces = [start]
+    frontier = start
     level = 0
     while max_rounds is None or level < max_rounds:
         level += 1
+        seen = reduce(lambda a, b: a.unionByName(b), pieces).select("node")
         step = frontier.join(e, frontier["node"] == e["_c"]).select(F.col("_p").alias("node")) \
-                       .distinct().join(visited.select("node"), "node", "left_anti") \
+                       .distinct().join(seen, "node", "left_anti") \
                        .withColumn("depth", F.lit(level))
-        step = step.checkpoint()
+        step = written(step, f"round-{level}")
         if step.isEmpty():
             break
-        visited = visited.unionByName(step).checkpoint()
+        pieces.append(step)
         frontier = step
-    return visited
+        if len(pieces) >= _CONSOLIDATE_EVERY:
+            pieces = [written(reduce(lambda a, b: a.unionByName(b), pieces), f"visited-{level}")]
+    return reduce(lambda a, b: a.unionByName(b), pieces)
 
 
 def previous_in_group(df: DataFrame, group: str, order: str, out: str = "previous",

@@ -98,7 +98,8 @@ def _snapshot_path(path: str, version: int) -> str:
 def read_pointer(spark: SparkSession, path: str) -> dict | None:
     """The last committed snapshot version of a keyed table, or None."""
     try:
-        row = spark.read.json(f"{path.rstrip('/')}/_pointer").first()
+        row = spark.read.schema("version long, previous long") \
+                   .json(f"{path.rstrip('/')}/_pointer").first()
     except Exception:  # no pointer yet
         return None
     return None if row is None else row.asDict()

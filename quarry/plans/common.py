@@ -22,5 +22,11 @@ URL_HOST_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://([^?#]*)"
 URL_PATH_ONLY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/?([^?#]*)"
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, spread_on: str | None = None) -> DataFrame:
+    """Read one test table; ``spread_on`` names a key to widen a one-split input by
+    before CPU-heavy per-row work (see ``quarry.sources.tables.spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread_on:
+        from quarry.sources.tables import spread
+        df = spread(df, [spread_on])
+    return df

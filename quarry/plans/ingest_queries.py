@@ -127,7 +127,7 @@ def stream_upsert(spark, d):
 
 
 def stemmed_match_q(spark, d):
-    docs = load(spark, d, "documents").where(F.col("lang") == "en")
+    docs = load(spark, d, "documents", spread_on="doc_id").where(F.col("lang") == "en")
     return stemmed_match(docs, "doc_id", "text", "ating")
 
 

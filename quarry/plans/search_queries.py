@@ -120,17 +120,17 @@ def pattern_capture_tokens(spark, d):
 
 
 def text_tokens_agg(spark, d):
-    docs = load(spark, d, "documents")
+    docs = load(spark, d, "documents", spread_on="doc_id")
     return terms_agg(docs, text_tokens("text"), name="token", array=True)
 
 
 def postings_q(spark, d):
-    docs = load(spark, d, "documents")
+    docs = load(spark, d, "documents", spread_on="doc_id")
     return postings(docs, "doc_id", "text").select("token", "doc_id", "tf")
 
 
 def bm25_top10(spark, d):
-    docs = load(spark, d, "documents")
+    docs = load(spark, d, "documents", spread_on="doc_id")
     return search(docs, SEARCH_WORD, "text", "doc_id", k=10, digits=6)
 
 

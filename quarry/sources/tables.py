@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,21 @@ def scan_pattern(spark: SparkSession, tables: Mapping[str, DataFrame | str],
     return grow_schema(*dfs)
 
 
+def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition an input that has fewer splits than the cluster has cores.
+
+    A file written as one row group is read by one task, so CPU-heavy
+    per-row work after the scan (tokenizing, regex) would use one core. A large
+    input already has many splits and is returned unchanged, so this never
+    adds a shuffle of a big table. Filters still run below the repartition.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *[F.col(k) for k in keys]) if keys else df.repartition(target)
+
+
 def lookup(df: DataFrame, key_col: str, value) -> DataFrame:
     """Point lookup by key (S9). With files sorted by the key, Parquet min/max
     statistics skip every row group but the one holding it."""
