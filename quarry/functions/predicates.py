@@ -146,7 +146,9 @@ def bool_query(must: Sequence[Column] = (), must_not: Sequence[Column] = (),
     ``filter`` and ``must`` select the same rows; they differ only in scoring,
     which ``quarry.operators.search`` handles.
     """
-    parts: list[Column] = [F.coalesce(p, F.lit(False)) for p in list(must) + list(filter)]
+    # Positive clauses stay bare so Catalyst can push them into the scan; an
+    # unknown (NULL) clause already rejects the row in a WHERE.
+    parts: list[Column] = list(must) + list(filter)
     parts += [not_(p) for p in must_not]
     msm = minimum_should_match
     if msm is None:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKETS = 10
 
@@ -62,19 +63,70 @@ def date_histogram(df: DataFrame, ts: str, by: Sequence[str] = (), unit: str = "
     """Calendar histogram (A6), zero-filled.
 
     Every ``unit`` between the first and last non-empty bucket *of each outer
-    key* appears, empty ones with ``doc_count = 0``. The fill is generated from
-    the (key, bucket) aggregate, whose size is keys x span, never from rows.
+    key* appears; empty ones have ``doc_count = 0`` (metrics NULL). The data is
+    aggregated once to (key, bucket); the empty buckets are the gaps between
+    consecutive non-empty ones, found with a ``lag`` over that aggregate, whose
+    size is keys x buckets whatever the number of rows. No join.
     """
-    by = list(by)
+    return fill_gaps(bucket_counts(df, ts, by, unit, metrics, bucket), by, unit, bucket)
+
+
+def bucket_counts(df: DataFrame, ts: str, by: Sequence[str] = (), unit: str = "month",
+                  metrics: Sequence[Column] = (), bucket: str = "bucket") -> DataFrame:
+    """Non-empty calendar buckets per key with their document counts."""
     src_type = df.schema[ts].dataType.simpleString()
     b = F.date_trunc(unit, F.col(ts)).cast(src_type)
-    counts = df.where(F.col(ts).isNotNull()).groupBy(*by, b.alias(bucket)) \
-               .agg(F.count(F.lit(1)).alias("doc_count"), *metrics)
-    bounds = counts.groupBy(*by).agg(F.min(bucket).alias("_lo"), F.max(bucket).alias("_hi"))
-    grid = bounds.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL 1 {unit.upper()}")))
-                         .alias(bucket))
-    out = grid.join(counts, by + [bucket], "left")
-    return out.withColumn("doc_count", F.coalesce(F.col("doc_count"), F.lit(0)))
+    return df.where(F.col(ts).isNotNull()).groupBy(*by, b.alias(bucket)) \
+             .agg(F.count(F.lit(1)).alias("doc_count"), *metrics)
+
+
+def fill_gaps(counts: DataFrame, by: Sequence[str] = (), unit: str = "month",
+              bucket: str = "bucket") -> DataFrame:
+    """Add the empty buckets between consecutive non-empty ones of each key.
+
+    Each non-empty bucket row is expanded, in one ``explode``, into the empty
+    buckets just before it followed by itself, so the aggregate is read once.
+    """
+    by = list(by)
+    rest = [f for f in counts.schema.fields if f.name not in by and f.name != bucket]
+    step = F.expr(f"INTERVAL 1 {unit.upper()}")
+    w = Window.partitionBy(*by).orderBy(bucket) if by else Window.orderBy(bucket)
+    prev = F.col("_prev")
+    lo, hi = prev + step, F.col(bucket) - step
+    btype = counts.schema[bucket].dataType
+
+    def empty(b: Column) -> Column:
+        vals = [(F.lit(0).cast(f.dataType) if f.name == "doc_count" else F.lit(None).cast(f.dataType))
+                .alias(f.name) for f in rest]
+        return F.struct(b.cast(btype).alias(bucket), *vals)
+
+    own = F.struct(F.col(bucket).alias(bucket), *[F.col(f.name) for f in rest])
+    gaps = F.when(prev.isNotNull() & (lo <= hi), F.transform(F.sequence(lo, hi, step), empty)) \
+            .otherwise(F.array().cast(T.ArrayType(own_type(counts, bucket, rest))))
+    return counts.withColumn("_prev", F.lag(bucket).over(w)) \
+                 .select(*by, F.explode(F.concat(gaps, F.array(own))).alias("_b")) \
+                 .select(*by, "_b.*")
+
+
+def own_type(counts: DataFrame, bucket: str, rest) -> T.StructType:
+    return T.StructType([T.StructField(bucket, counts.schema[bucket].dataType)] +
+                        [T.StructField(f.name, f.dataType) for f in rest])
+
+
+def top_terms_histogram(df: DataFrame, outer: str, ts: str, size: int = DEFAULT_BUCKETS,
+                        unit: str = "month", metrics: Sequence[Column] = (),
+                        bucket: str = "bucket") -> DataFrame:
+    """Terms bucket with a calendar histogram inside (A1 + A6 + A8), one scan.
+
+    The (key, bucket) aggregate is built first; the top ``size`` keys are read
+    off it (documents per key = sum of its buckets) and kept by a broadcast
+    semi-join whose build side has at most ``size`` rows.
+    """
+    counts = bucket_counts(df.where(F.col(outer).isNotNull()), ts, [outer], unit, metrics, bucket)
+    top = counts.groupBy(outer).agg(F.sum("doc_count").alias("_n")) \
+                .orderBy(F.col("_n").desc(), F.col(outer).asc()).limit(size).select(outer)
+    kept = counts.join(F.broadcast(top), outer, "left_semi")
+    return fill_gaps(kept, [outer], unit, bucket)
 
 
 def top_keys_then(df: DataFrame, outer: str, inner, size: int = DEFAULT_BUCKETS) -> DataFrame:

@@ -44,3 +44,38 @@ def token_doc_counts(docs: DataFrame, text_col: str, analyzer: Analyzer = text_t
     """Documents per token (T10): each document counts once per token."""
     return docs.select(F.explode(F.array_distinct(analyzer(F.col(text_col)))).alias("token")) \
                .groupBy("token").agg(F.count(F.lit(1)).alias("doc_count"))
+
+
+def doc_lengths(docs: DataFrame, id_col: str, text_col: str,
+                analyzer: Analyzer = text_tokens) -> DataFrame:
+    """``(id, doc_len)`` per document with a non-NULL field (empty ones included)."""
+    return docs.select(F.col(id_col), F.size(analyzer(F.col(text_col))).cast("bigint").alias("doc_len")) \
+               .where(F.col("doc_len") >= 0)
+
+
+def match_postings(post: DataFrame, tokens: list[str], id_col: str = "doc_id") -> DataFrame:
+    """Ids of documents holding any of ``tokens``, read from a postings table.
+
+    ``token IN (...)`` reaches the Parquet scan as a pushed filter; with files
+    sorted by token (``write_postings``) most row groups are skipped.
+    """
+    return post.where(F.col("token").isin(tokens)).select(id_col).distinct()
+
+
+def bm25_postings(post: DataFrame, lengths: DataFrame, tokens: list[str], id_col: str = "doc_id",
+                  k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """BM25 ``(id, _score)`` for the documents holding a query token, from the index.
+
+    Reads only the postings of the query tokens. Document frequencies are one
+    row per query token (a bound known from the query), so they are broadcast;
+    document count and mean length come from the length table as one scalar
+    subquery. Same formula as ``quarry.operators.search.bm25_score``.
+    """
+    hits = post.where(F.col("token").isin(tokens))
+    dfreq = hits.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
+    stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avgdl"))
+    s = stats.select(F.struct("n_docs", "avgdl").alias("s")).scalar()
+    idf = F.log(F.lit(1.0) + (s["n_docs"] - F.col("_df") + F.lit(0.5)) / (F.col("_df") + F.lit(0.5)))
+    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("doc_len") / s["avgdl"])
+    part = idf * F.col("tf") / (F.col("tf") + norm)
+    return hits.join(F.broadcast(dfreq), "token").groupBy(id_col).agg(F.sum(part).alias("_score"))

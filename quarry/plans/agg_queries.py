@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.project import bucket_line
 from quarry.operators.aggs import (cardinality, count_rows, date_histogram, stats_metric,
-                                   terms_agg, top_keys_then)
+                                   terms_agg, top_terms_histogram)
 from quarry.functions.predicates import term
 from quarry.plans.common import load
 
@@ -46,8 +46,7 @@ def customer_month_histogram(spark, d):
 
 def terms_by_month(spark, d):
     orders = load(spark, d, "orders")
-    return top_keys_then(orders, "o_orderpriority",
-                         lambda df: date_histogram(df, "o_orderdate", by=["o_orderpriority"]))
+    return top_terms_histogram(orders, "o_orderpriority", "o_orderdate")
 
 
 def table_count(spark, d):

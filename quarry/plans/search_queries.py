@@ -10,7 +10,8 @@ from quarry.functions.predicates import (any_field, at_least, bool_query, child_
                                          field, match, not_, range_, term, terms)
 from quarry.functions.project import first_line, hit_line, record, subject
 from quarry.operators.aggs import terms_agg
-from quarry.operators.postings import postings
+from quarry.functions.analysis import analyze_literal
+from quarry.operators.postings import bm25_postings, doc_lengths, match_postings, postings
 from quarry.operators.search import page, search
 from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens
 
@@ -134,6 +135,24 @@ def bm25_top10(spark, d):
     return search(docs, SEARCH_WORD, "text", "doc_id", k=10, digits=6)
 
 
+def match_postings_q(spark, d):
+    """The flagship's hits read through the postings table instead of the text."""
+    docs = load(spark, d, "documents", spread_on="doc_id")
+    post = postings(docs, "doc_id", "text")
+    ids = match_postings(post, analyze_literal(spark, SEARCH_WORD))
+    return docs.join(ids, "doc_id", "left_semi").where(not_(term("source", "src2")))
+
+
+def bm25_postings_top10(spark, d):
+    """``bm25_top10`` computed from the postings and document-length tables."""
+    docs = load(spark, d, "documents", spread_on="doc_id")
+    post = postings(docs, "doc_id", "text")
+    scores = bm25_postings(post, doc_lengths(docs, "doc_id", "text"),
+                           analyze_literal(spark, SEARCH_WORD))
+    return page(scores.select("doc_id", F.round("_score", 6).alias("_score")), 10,
+                order=[F.col("_score").desc()], id_col="doc_id")
+
+
 def point_lookup(spark, d):
     cust = load(spark, d, "customer")
     return cust.where(F.col("c_custkey") == F.lit(1))
@@ -172,6 +191,8 @@ QUERIES = {
     "text_tokens_agg": text_tokens_agg,
     "postings": postings_q,
     "bm25_top10": bm25_top10,
+    "match_postings": match_postings_q,
+    "bm25_postings_top10": bm25_postings_top10,
     "point_lookup": point_lookup,
     "hit_lines": hit_lines,
     "subject_column": subject_column,
@@ -181,7 +202,7 @@ _HP = f"regexp_extract(url, '{URL_HOST_PATH}', 1)"
 _PO = f"regexp_extract(url, '{URL_PATH_ONLY}', 1)"
 _NOT_SRC2 = "NOT coalesce(source = 'src2', false)"
 
-ORACLE = {
+ORACLE: dict = {
     "match_not_term": f"""
         SELECT doc_id, source, string_split(text, chr(10))[1] AS subject FROM documents
         WHERE list_contains({TOK}, '{SEARCH_WORD}') AND {_NOT_SRC2}
@@ -250,6 +271,8 @@ ORACLE = {
                              / (tf + 1.2 * (0.25 + 0.75 * dl / s.avgdl)), 6) AS _score
         FROM d, s WHERE tf > 0 ORDER BY _score DESC, doc_id LIMIT 10""",
     "point_lookup": "SELECT * FROM customer WHERE c_custkey = 1",
+    "match_postings": f"""
+        SELECT * FROM documents WHERE list_contains({TOK}, '{SEARCH_WORD}') AND {_NOT_SRC2}""",
     "hit_lines": """
         SELECT o_orderkey, format('/{}/{}/{} ({}): {}', 'orders', '_doc', CAST(o_orderkey AS VARCHAR),
                strftime(coalesce(NULL, o_orderdate), '%Y-%m-%d'),
@@ -257,3 +280,5 @@ ORACLE = {
     "subject_column": """
         SELECT doc_id, left(string_split(text, chr(10))[1], 80) AS subject FROM documents""",
 }
+
+ORACLE["bm25_postings_top10"] = ORACLE["bm25_top10"]
