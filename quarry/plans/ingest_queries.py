@@ -175,8 +175,8 @@ ORACLE = {
         FROM t WHERE TRY_CAST(event_id AS BIGINT) IS NULL""",
     "typed_load_summary": f"""
         WITH {_TEXT_EVENTS}
-        SELECT count_if(TRY_CAST(event_id AS BIGINT) IS NOT NULL) AS accepted,
-               count_if(TRY_CAST(event_id AS BIGINT) IS NULL) AS failed FROM t""",
+        SELECT CAST(count_if(TRY_CAST(event_id AS BIGINT) IS NOT NULL) AS BIGINT) AS accepted,
+               CAST(count_if(TRY_CAST(event_id AS BIGINT) IS NULL) AS BIGINT) AS failed FROM t""",
     "csv_typed_load": """
         SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type,
                CAST(p_size AS INTEGER) AS p_size, p_retailprice FROM part""",
