@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.graph import previous_in_group, reachable
-from quarry.operators.ingest import latest_per_key, partial_update, typed_load, quarantined, \
-    load_summary
+from quarry.operators.ingest import (ChangeLogTable, latest_per_key, load_summary,
+                                     partial_update, quarantined, typed_load)
 from quarry.operators.stemming import stemmed_match
 from quarry.plans.common import load
 from quarry.session import scratch_dir
@@ -121,9 +121,8 @@ def stream_upsert(spark, d):
     src = f"{base}/source"
     ev.repartition(4, "event_id").write.mode("overwrite").parquet(src)
     run_keyed_ingest(spark, src, ev.schema, f"{base}/table", f"{base}/_checkpoint",
-                     key="user_id", order=EVENT_ORDER, max_files_per_trigger=1)
-    from quarry.operators.ingest import read_current
-    return read_current(spark, f"{base}/table")
+                     key="user_id", order=EVENT_ORDER, max_files_per_trigger=1, compact_every=2)
+    return ChangeLogTable(spark, f"{base}/table", "user_id", EVENT_ORDER).current()
 
 
 def stemmed_match_q(spark, d):
