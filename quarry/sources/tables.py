@@ -45,8 +45,12 @@ def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None =
     adds a shuffle of a big table. Filters still run below the repartition.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the input as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *[F.col(k) for k in keys]) if keys else df.repartition(target)
 
