@@ -16,50 +16,70 @@ _CONSOLIDATE_EVERY = 16
 
 def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent: str = "parent",
               node: str = "node", max_rounds: int | None = None,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, hops: int = 2, max_growth: float = 4.0) -> DataFrame:
     """All nodes reachable from ``roots`` along child -> parent edges, each once.
 
-    Breadth-first frontier expansion: each round joins only the new frontier
-    with the edges, drops nodes already visited (anti-join) and stops when the
-    frontier is empty. ``depth`` is the shortest distance from a root.
+    Breadth-first frontier expansion. ``depth`` is the shortest distance from
+    a root. Each round joins only the frontier (the nodes at distance k) with
+    the edges, drops nodes already visited (anti-join) and stops when the
+    frontier is empty.
 
-    The edge table is hash-partitioned on ``child`` and checkpointed once, so
-    every round shuffles only the frontier. Each new frontier is written as a
-    table in the shared checkpoint folder (one job per round, nothing
-    recomputed, lineage cut), and the visited set is the union of those
-    written pieces, merged every few rounds to keep the plan short. A lost
-    executor costs at most the current round.
+    With ``hops=2`` the edge table also holds the two-step pairs, so one round
+    finds the nodes at distance k+1 and k+2: a node's distance is k plus the
+    fewest steps from the level-k frontier, and the next frontier is level k+2.
+    That halves the rounds. The two-step table is counted first and is only
+    used while it stays within ``max_growth`` times the edge table, so a graph
+    with wide merges falls back to one step per round.
+
+    The edge table is hash-partitioned on the child and checkpointed once, so
+    every round shuffles only the frontier. Each round's new nodes are written
+    as a table in the shared checkpoint folder (lineage cut, nothing
+    recomputed). The visited set is the union of those pieces, merged every
+    few rounds. A lost executor costs at most the current round.
     """
     spark = edges.sparkSession
     work = scratch_dir(spark, f"reach-{uuid.uuid4().hex}")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct() \
-             .repartition(n, "_c").checkpoint()
 
     def written(df: DataFrame, name: str) -> DataFrame:
         path = f"{work}/{name}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    e1 = written(edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct(), "e1")
+    step_edges = e1.withColumn("_hop", F.lit(1))
+    width = 1
+    if hops >= 2:
+        a, b = e1.alias("a"), e1.alias("b")
+        e2 = written(a.join(b, F.col("a._p") == F.col("b._c"))
+                     .select(F.col("a._c").alias("_c"), F.col("b._p").alias("_p")).distinct(), "e2")
+        if e2.count() <= max_growth * max(e1.count(), 1):
+            step_edges = step_edges.unionByName(e2.withColumn("_hop", F.lit(2)))
+            width = 2
+    step_edges = step_edges.repartition(n, "_c").checkpoint()
 
     start = written(roots.select(F.col(node).alias("node")).distinct()
                     .withColumn("depth", F.lit(0)), "round-0")
     pieces = [start]
     frontier = start
     level = 0
-    while max_rounds is None or level < max_rounds:
-        level += 1
-        seen = reduce(lambda a, b: a.unionByName(b), pieces).select("node")
-        step = frontier.join(e, frontier["node"] == e["_c"]).select(F.col("_p").alias("node")) \
-                       .distinct().join(seen, "node", "left_anti") \
-                       .withColumn("depth", F.lit(level))
-        step = written(step, f"round-{level}")
-        if step.isEmpty():
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
+        seen = reduce(lambda x, y: x.unionByName(y), pieces).select("node")
+        found = frontier.join(step_edges, frontier["node"] == step_edges["_c"]) \
+                        .groupBy(F.col("_p").alias("node")) \
+                        .agg((F.lit(level) + F.min("_hop")).cast("int").alias("depth")) \
+                        .join(seen, "node", "left_anti")
+        found = written(found, f"round-{rounds}")
+        if found.isEmpty():
             break
-        pieces.append(step)
-        frontier = step
+        pieces.append(found)
+        level += width
+        frontier = found.where(F.col("depth") == F.lit(level))
         if len(pieces) >= _CONSOLIDATE_EVERY:
-            pieces = [written(reduce(lambda a, b: a.unionByName(b), pieces), f"visited-{level}")]
-    return reduce(lambda a, b: a.unionByName(b), pieces)
+            pieces = [written(reduce(lambda x, y: x.unionByName(y), pieces), f"visited-{rounds}")]
+    return reduce(lambda x, y: x.unionByName(y), pieces)
 
 
 def previous_in_group(df: DataFrame, group: str, order: str, out: str = "previous",
