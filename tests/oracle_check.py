@@ -79,10 +79,17 @@ def compare(spark, con, name, fn, sql, sf_dir):
 def main(argv):
     sys.path.insert(0, "/root/repo")
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in argv[1:] if not a.startswith("/")]
+    names = [a for a in argv[1:] if not a.startswith("/") and not a.startswith("--")]
     from __spark_entry__ import oracle_sql, queries
-    from quarry.session import get_session
-    spark = get_session("local[8]", 8)
+    if "--plain" in argv:
+        # a session as a caller might build it, without quarry's defaults
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        from quarry.session import get_session
+        spark = get_session("local[8]", 8)
     con = duck(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
