@@ -100,6 +100,8 @@ def previous_in_group(df: DataFrame, group: str, order: str, out: str = "previou
     blocks = d.groupBy(group, "_blk").agg(F.max(order).alias("_bmax"))
     prev_block = Window.partitionBy(group).orderBy("_blk")
     blocks = blocks.withColumn("_prev_bmax", F.lag("_bmax").over(prev_block)).drop("_bmax")
-    d = d.join(blocks, [group, "_blk"], "left")
+    blocks = blocks.select(F.col(group).alias("_g"), F.col("_blk").alias("_b"), "_prev_bmax")
+    cond = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_blk") == F.col("_b"))
+    d = d.join(blocks, cond, "left")
     return d.withColumn(out, F.coalesce(F.col("_lag"), F.col("_prev_bmax"))) \
-            .drop("_blk", "_lag", "_prev_bmax")
+            .drop("_blk", "_lag", "_prev_bmax", "_g", "_b")

@@ -95,13 +95,25 @@ def _snapshot_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/snapshot-{version:012d}"
 
 
+def _missing_path(err: Exception) -> bool:
+    cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
+    return bool(cond) and cond() == "PATH_NOT_FOUND"
+
+
 def read_pointer(spark: SparkSession, path: str) -> dict | None:
-    """The last committed snapshot version of a keyed table, or None."""
+    """The last committed snapshot version of a keyed table, or None if none was written.
+
+    Only a missing pointer means "no snapshot yet"; any other read error is
+    raised, so a transient failure can never be taken for an empty table.
+    """
+    from pyspark.errors import AnalysisException
     try:
         row = spark.read.schema("version long, previous long") \
                    .json(f"{path.rstrip('/')}/_pointer").first()
-    except Exception:  # no pointer yet
-        return None
+    except AnalysisException as e:
+        if _missing_path(e):
+            return None
+        raise
     return None if row is None else row.asDict()
 
 
@@ -272,10 +284,13 @@ class ChangeLogTable:
             .parquet(f"{self.path}/log/batch={batch_id}")
 
     def _log(self, after: int | None, upto: int | None = None) -> DataFrame | None:
+        from pyspark.errors import AnalysisException
         try:
             log = self.spark.read.parquet(f"{self.path}/log")
-        except Exception:  # no batch written yet
-            return None
+        except AnalysisException as e:
+            if _missing_path(e):  # no batch written yet
+                return None
+            raise
         if after is not None:
             log = log.where(F.col("batch") > F.lit(after))
         if upto is not None:

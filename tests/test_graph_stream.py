@@ -17,7 +17,7 @@ def test_reachable_diamond_each_node_once(spark):
 
 
 def test_previous_in_group_equals_lag(spark):
-    rows = [(g, k) for g in (1, 2) for k in range(g, 60, 3)] + [(3, 7)]
+    rows = [(g, k) for g in (1, 2, None) for k in range(g or 0, 60, 3)] + [(3, 7)]
     df = spark.createDataFrame(rows, "g long, k long")
     got = {(r.g, r.k): r.previous for r in previous_in_group(df, "g", "k", block=4).collect()}
     w = Window.partitionBy("g").orderBy("k")

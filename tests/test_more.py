@@ -95,3 +95,23 @@ def test_no_python_in_plans_except_stemming(spark):
                  "typed_load_quarantine", "any_field_text", "nested_exists"]:
         p = _plan(queries()[name](spark, SF_SMALL))
         assert "PythonUDF" not in p and "EvalPython" not in p and "MapInPandas" not in p, name
+
+
+def test_postings_written_clustered_and_read_with_pushdown(spark, tmp_dir):
+    from quarry.operators.postings import match_postings, postings, write_postings
+    docs = spark.createDataFrame([(i, "the common word w%d" % (i % 7)) for i in range(200)],
+                                 "doc_id long, text string")
+    post = postings(docs, "doc_id", "text")
+    write_postings(post, f"{tmp_dir}/post", partitions=8, salt_buckets=4)
+    back = spark.read.parquet(f"{tmp_dir}/post")
+    # a token present in every document is spread over several files
+    files = back.where(F.col("token") == "the").select(F.input_file_name()).distinct().count()
+    assert files > 1
+    hits = match_postings(back, ["w3"])
+    assert sorted(r.doc_id for r in hits.collect()) == [i for i in range(200) if i % 7 == 3]
+    assert "In(token" in _plan(hits) or "EqualTo(token" in _plan(hits)
+
+
+def test_missing_pointer_is_none_but_other_errors_raise(spark, tmp_dir):
+    from quarry.operators.ingest import read_pointer
+    assert read_pointer(spark, f"{tmp_dir}/nothing-here") is None
