@@ -16,7 +16,8 @@ _CONSOLIDATE_EVERY = 16
 
 def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent: str = "parent",
               node: str = "node", max_rounds: int | None = None,
-              partitions: int | None = None, hops: int = 2, max_growth: float = 4.0) -> DataFrame:
+              partitions: int | None = None, hops: int = 2, max_growth: float = 4.0,
+              broadcast_rows: int = 2_000_000) -> DataFrame:
     """All nodes reachable from ``roots`` along child -> parent edges, each once.
 
     Breadth-first frontier expansion. ``depth`` is the shortest distance from
@@ -31,8 +32,10 @@ def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent:
     used while it stays within ``max_growth`` times the edge table, so a graph
     with wide merges falls back to one step per round.
 
-    The edge table is hash-partitioned on the child and checkpointed once, so
-    every round shuffles only the frontier. Each round's new nodes are written
+    The edge table is hash-partitioned on the child and checkpointed once.
+    The frontier and the visited set are counted every round; while they hold
+    at most ``broadcast_rows`` node ids they are broadcast, so a round shuffles
+    nothing but the found nodes, and above that they are hash-joined. Each round's new nodes are written
     as a table in the shared checkpoint folder (lineage cut, nothing
     recomputed). The visited set is the union of those pieces, merged every
     few rounds. A lost executor costs at most the current round.
@@ -62,21 +65,29 @@ def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent:
                     .withColumn("depth", F.lit(0)), "round-0")
     pieces = [start]
     frontier = start
+    frontier_rows = seen_rows = start.count()
     level = 0
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
         seen = reduce(lambda x, y: x.unionByName(y), pieces).select("node")
-        found = frontier.join(step_edges, frontier["node"] == step_edges["_c"]) \
-                        .groupBy(F.col("_p").alias("node")) \
-                        .agg((F.lit(level) + F.min("_hop")).cast("int").alias("depth")) \
-                        .join(seen, "node", "left_anti")
+        # counted sizes decide the join strategy: broadcast below the limit,
+        # hash-partitioned shuffle joins above it
+        fr = F.broadcast(frontier) if frontier_rows <= broadcast_rows else frontier
+        sn = F.broadcast(seen) if seen_rows <= broadcast_rows else seen
+        found = fr.join(step_edges, fr["node"] == step_edges["_c"]) \
+                  .groupBy(F.col("_p").alias("node")) \
+                  .agg((F.lit(level) + F.min("_hop")).cast("int").alias("depth")) \
+                  .join(sn, "node", "left_anti")
         found = written(found, f"round-{rounds}")
-        if found.isEmpty():
+        found_rows = found.count()
+        if found_rows == 0:
             break
         pieces.append(found)
+        seen_rows += found_rows
         level += width
         frontier = found.where(F.col("depth") == F.lit(level))
+        frontier_rows = found_rows          # an upper bound of the frontier's size
         if len(pieces) >= _CONSOLIDATE_EVERY:
             pieces = [written(reduce(lambda x, y: x.unionByName(y), pieces), f"visited-{rounds}")]
     return reduce(lambda x, y: x.unionByName(y), pieces)
