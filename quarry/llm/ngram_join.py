@@ -335,7 +335,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of linked documents the one with the smallest id stays.
 
-    A row without a key stays, as does one copy of rows that repeat the smallest key.
+    Rows without a key stay, and so do all rows that carry a group's smallest key.
     """
     found = jaccard_join(spark, docs)[0]
     dropped = found.where("component_id < doc_id").select("doc_id").distinct()
