@@ -15,7 +15,7 @@ def test_entry_schema_stable(spark):
 
 def test_every_query_has_oracle_or_is_listed(spark):
     from __spark_entry__ import oracle_sql, queries
-    missing = set(queries()) - set(oracle_sql())
+    missing = {q for q in set(queries()) - set(oracle_sql()) if not _optional(q)}
     assert missing == {"cardinality_approx", "stemmed_match"}
     assert set(oracle_sql()) <= set(queries())
 
@@ -26,11 +26,17 @@ def duck():
     return make(SF_SMALL)
 
 
+def _optional(name):
+    """Queries of the optional training-data operators; their own tests are in tests/llm."""
+    import re
+    return name == "pipeline" or re.match(r"op\d+_", name)
+
+
 def _names():
     import sys, os
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from __spark_entry__ import queries
-    return sorted(queries())
+    return sorted(q for q in queries() if not _optional(q))
 
 
 @pytest.mark.parametrize("name", _names())
