@@ -15,8 +15,10 @@ from quarry.llm.shingles import SIMILARITY_PERCENT, WORDS, linked, shingle_sets
 
 #: Counters of the document-frequency sketch. The sketch only orders shingles (which of a
 #: document's lists count as short); results are the same for any size.
-SKETCH_BITS = 21
-_SKETCH_PARTS = 32
+SKETCH_BITS = 22
+_SKETCH_PARTS = 64
+#: Bits of the filter that spares most texts that no candidate needs the join with the candidates.
+FILTER_BITS = 22
 #: An inverted list is split into cells of about this many documents.
 CELL_ROWS = 8192
 
@@ -127,21 +129,22 @@ def _lists(batches):
         run = np.cumsum(new) - 1
         c_cls = np.where(run >= 0, x["cls"][first[np.maximum(run, 0)]] if len(first) else 0, 0)
         c_n = np.where(run >= 0, x["n"][first[np.maximum(run, 0)]] if len(first) else 0, 0)
+        c_at = np.where(run >= 0, x["at"][first[np.maximum(run, 0)]] if len(first) else 0, 0)
         if centre is not None and used:
-            c_cls[run < 0], c_n[run < 0] = centre
+            c_cls[run < 0], c_n[run < 0], c_at[run < 0] = centre
         last_open = ~new  # rows that follow another row of their list
         pair = np.zeros(len(new), bool)
         pair[:-1] = last_open[1:]
         keep = last_open | pair | (x["cell"] > 0)
         size = len(keep) - 1  # the last row waits for the next batch
-        out = pd.DataFrame({"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"], "c_cls": c_cls, "c_n": c_n})
+        out = pd.DataFrame({"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"], "c_cls": c_cls, "c_n": c_n, "c_at": c_at})
         yield out[:size][keep[:size]]
         held = {c: v[-1:] for c, v in x.items()}
         used = bool(last_open[-1])
-        centre = (c_cls[-1], c_n[-1])
+        centre = (c_cls[-1], c_n[-1], c_at[-1])
     if held is not None and (used or held["cell"][0] > 0):
         yield pd.DataFrame({"shingle": held["shingle"], "cell": held["cell"], "cls": held["cls"], "n": held["n"], "at": held["at"],
-                            "c_cls": [centre[0]], "c_n": [centre[1]]})
+                            "c_cls": [centre[0]], "c_n": [centre[1]], "c_at": [centre[2]]})
 
 
 def overlap_divide_skip(query: np.ndarray, other: np.ndarray, need: int) -> int:
@@ -167,21 +170,18 @@ def overlap_divide_skip(query: np.ndarray, other: np.ndarray, need: int) -> int:
 
 def _verify(batches):
     for pdf in batches:
-        ok = []
-        for a, b, n_a, n_b in zip(pdf["set_a"], pdf["set_b"], pdf["a_n"], pdf["b_n"]):
-            x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-            common = overlap_divide_skip(x, y, int(required_overlap(n_a, n_b)))
-            ok.append(common >= 0 and bool(linked(common, n_a, n_b)))
+        ok = np.zeros(len(pdf), bool)
+        for lo in range(0, len(pdf), 256):
+            part = pdf.iloc[lo: lo + 256]
+            texts = list(dict.fromkeys(part["text_a"].tolist() + part["text_b"].tolist()))
+            sets = dict(zip(texts, shingle_sets(texts)))
+            for i, (a, b) in enumerate(zip(part["text_a"], part["text_b"])):
+                x, y = sets[a], sets[b]
+                common = overlap_divide_skip(x, y, int(required_overlap(len(x), len(y))))
+                ok[lo + i] = common >= 0 and bool(linked(common, len(x), len(y)))
         yield pdf.loc[ok, ["a_cls", "a_n", "b_cls", "b_n"]]
 
 
-def _encode_sets(batches):
-    for pdf in batches:
-        for lo, sets in _batches(pdf["text"]):
-            yield pd.DataFrame({"cls": pdf["cls"].to_numpy()[lo: lo + len(sets)], "n": pdf["n"].to_numpy()[lo: lo + len(sets)],
-                                "members": [s.astype("<u8").tobytes() for s in sets]})
-
-
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); component is the least node reachable.
 
@@ -263,23 +263,16 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
 
     postings = base.mapInPandas(_postings(sketch, cell_rows), "shingle long, cell int, cls long, n int, at int")
     lists = stored(spark, postings.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "at", "cls")
-                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int"), "short-lists")
-    different = "(cls <> c_cls or n <> c_n)"
-    fits = f"100 * least(n, c_n) >= {SIMILARITY_PERCENT} * greatest(n, c_n)"
+                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int, c_at int"), "short-lists")
     centres = lists.where("cell > 0 and cls = c_cls and n = c_n").select("shingle", "at", "cls", "n")
     tops = centres.groupBy("shingle").agg(F.min(F.struct("at", "cls", "n")).alias("top"))
-    across = centres.join(tops, "shingle").select("cls", "n", F.col("top.cls").alias("c_cls"), F.col("top.n").alias("c_n"))
-    starred = lists.select("cls", "n", "c_cls", "c_n").union(across).where(different)
-    stars = _as_pairs(starred.where(fits), _node("cls", "n"), _node("c_cls", "c_n"))
-
+    across = centres.join(tops, "shingle").select("cls", "n", "at", F.col("top.cls").alias("c_cls"), F.col("top.n").alias("c_n"), F.col("top.at").alias("c_at"))
+    starred = lists.select("cls", "n", "at", "c_cls", "c_n", "c_at").union(across).where("cls <> c_cls or n <> c_n")
+    stars = _as_pairs(starred.where(_possible("n", "c_n", "at", "c_at")), _node("cls", "n"), _node("c_cls", "c_n"))
     reps = rows.where("n > 0").groupBy("cls", "n").agg(F.min("row").alias("row"))
-    involved = starred.select("cls", "n").union(starred.select("c_cls", "c_n")).distinct()
-    chosen = reps.join(involved.select("cls", F.col("n").cast("long").alias("n")), ["cls", "n"]).select("row", "cls", "n")
-    sets = stored(spark, base.select("row", "text").join(chosen, "row")
-                  .mapInPandas(_encode_sets, "cls long, n long, members binary"), "shingle-sets")
 
     checked = stored(spark, stars, "candidates")
-    links = stored(spark, _check(checked, sets), "links")
+    links = stored(spark, _check(spark, checked, reps, base), "links")
     first = connected_components(spark, _edges(links))
 
     # round 2: lists with classes of several components
@@ -291,12 +284,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     mixed = stored(spark, placed.join(mains, "shingle").withColumn("in_main", F.col("component") == F.col("main")).drop("main"), "mixed-lists")
     x = mixed.where("not in_main").select("shingle", *[F.col(c).alias("x_" + c) for c in ("node", "n", "at", "component")])
     y = mixed.select("shingle", *[F.col(c).alias("y_" + c) for c in ("node", "n", "at", "component", "in_main")])
-    need = f"ceil({SIMILARITY_PERCENT} * (x_n + y_n) / {100 + SIMILARITY_PERCENT})"
     near = (x.join(y, "shingle").where("x_component <> y_component and (y_in_main or x_node < y_node)")
-            .where(f"100 * least(x_n, y_n) >= {SIMILARITY_PERCENT} * greatest(x_n, y_n)")
-            .where(f"least(x_n - x_at, y_n - y_at) >= {need}"))
-    rest = _as_pairs(near, F.col("x_node"), F.col("y_node")).join(checked, checked.columns, "left_anti")
-    links = stored(spark, links.union(_check(rest, sets)), "links")
+            .where(_possible("x_n", "y_n", "x_at", "y_at")))
+    rest = stored(spark, _as_pairs(near, F.col("x_node"), F.col("y_node")).join(checked, checked.columns, "left_anti"), "candidates")
+    links = stored(spark, links.union(_check(spark, rest, reps, base)), "links")
     components = connected_components(spark, _edges(links))
 
     keyed = rows.withColumn("node", F.struct("cls", F.col("n").cast("int").alias("n")))
@@ -310,6 +301,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     return out, links
 
 
+def _possible(n: str, m: str, n_at: str, m_at: str) -> str:
+    """SQL: sets of sizes n, m whose first shared shingle is at these places may be linked."""
+    need = f"ceil({SIMILARITY_PERCENT} * ({n} + {m}) / {100 + SIMILARITY_PERCENT})"
+    return (f"100 * least({n}, {m}) >= {SIMILARITY_PERCENT} * greatest({n}, {m}) "
+            f"and least({n} - {n_at}, {m} - {m_at}) >= {need}")
+
+
 def _as_pairs(df: DataFrame, one, other) -> DataFrame:
     pairs = df.select(F.least(one, other).alias("p"), F.greatest(one, other).alias("q")).distinct()
     return pairs.select(F.col("p.cls").alias("a_cls"), F.col("p.n").alias("a_n"), F.col("q.cls").alias("b_cls"), F.col("q.n").alias("b_n"))
@@ -319,13 +317,33 @@ def _edges(links: DataFrame) -> DataFrame:
     return links.select(_node("a_cls", "a_n").alias("a"), _node("b_cls", "b_n").alias("b"))
 
 
-def _check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The candidate pairs whose full sets are similar enough."""
-    def side(s):
-        return sets.select(F.col("cls").alias(s + "_cls"), F.col("n").cast("int").alias(s + "_n"), F.col("members").alias("set_" + s))
-    return (pairs.join(side("a"), ["a_cls", "a_n"]).join(side("b"), ["b_cls", "b_n"])
-            .select("a_cls", "a_n", "b_cls", "b_n", "set_a", "set_b")
-            .mapInPandas(_verify, "a_cls long, a_n int, b_cls long, b_n int"))
+def _check(spark: SparkSession, pairs: DataFrame, reps: DataFrame, base: DataFrame) -> DataFrame:
+    """The candidate pairs whose full sets are similar enough, from one text of each class.
+
+    A bitmap of fixed size over hashed row numbers first passes over the texts that are
+    not wanted, so that the join shuffles few of them; what it lets through by accident
+    (all texts, once it is full) the join itself drops.
+    """
+    sides = [pairs.select("*", F.lit(s).alias("side"), F.col(s + "_cls").alias("cls"), F.col(s + "_n").cast("long").alias("n")) for s in "ab"]
+    members = stored(spark, sides[0].union(sides[1]).join(reps, ["cls", "n"]).drop("cls", "n"), "members")
+    slot = F.pmod(F.xxhash64("row"), F.lit(1 << FILTER_BITS))
+    parts = (members.groupBy(F.bitmap_bucket_number(slot + 1).alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")).collect())
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    for r in parts:  # fixed size, whatever the number of classes
+        some = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
+        bits[np.flatnonzero(some) + (r["part"] - 1) * len(some)] = True
+    wanted = spark.sparkContext.broadcast(np.packbits(bits))
+
+    @F.pandas_udf("boolean")
+    def may_be_wanted(slots: pd.Series) -> pd.Series:
+        s = slots.to_numpy()
+        return pd.Series((wanted.value[s >> 3] >> (7 - (s & 7))) & 1 == 1)
+
+    texts = base.select("row", "text").withColumn("wanted", may_be_wanted(slot)).where("wanted").select("row", "text")
+    both = (members.join(texts, "row").groupBy(*pairs.columns)
+            .agg(*[F.max(F.when(F.col("side") == s, F.col("text"))).alias("text_" + s) for s in "ab"]))
+    return both.mapInPandas(_verify, "a_cls long, a_n int, b_cls long, b_n int")
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
