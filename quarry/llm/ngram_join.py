@@ -81,7 +81,8 @@ def _sum_parts(key, pdf):
 
 
 def _postings(sketch, cell_rows: int):
-    """Per document class its short lists: shingle, cell, class, size, place in the order.
+    """Per document class its short lists: shingle, cell, class, size, place in the order,
+    and whether the place is too late for the smaller set of a linked pair.
 
     A shingle that the sketch counts more than ``cell_rows`` times above its mean is dealt
     to several cells, from 1 on; cell 0 is a list that is not split.
@@ -101,50 +102,66 @@ def _postings(sketch, cell_rows: int):
                     done.add((cls, len(s)))
                     c = counts[_slot(s)]
                     order = np.lexsort((s, c))[: short_lists(len(s))]
+                    late = np.arange(len(order)) > len(s) - required_overlap(len(s), len(s))
                     cells = 1 + np.maximum(c[order] - mean, 0).astype(np.int64) // cell_rows
-                    out.append((s[order], np.where(cells > 1, 1 + (cls >> 7) % cells, 0), np.full(len(order), cls), np.full(len(order), len(s)), np.arange(len(order))))
+                    out.append((s[order], np.where(cells > 1, 1 + (cls >> 7) % cells, 0), np.full(len(order), cls), np.full(len(order), len(s)), np.arange(len(order)), late))
                 if out:
-                    shingle, cell, cls, n, at = (np.concatenate(x) for x in zip(*out))
+                    shingle, cell, cls, n, at, late = (np.concatenate(x) for x in zip(*out))
                     yield pd.DataFrame({"shingle": _as_long(shingle), "cell": cell.astype(np.int32), "cls": cls,
-                                        "n": n.astype(np.int32), "at": at.astype(np.int32)})
+                                        "n": n.astype(np.int32), "at": at.astype(np.int32), "late": late.astype(np.int8)})
     return run
 
 
 def _lists(batches):
-    """Of rows sorted by (shingle, cell, at), those whose list has two rows or more or is split
-    into cells, each with its list's first row as ``centre``. One row is held over between
-    batches."""
-    held, centre, used = None, None, False
+    """Of rows sorted by (shingle, cell, late, at), those in lists that may hold a pair.
+
+    A list is passed on when it has two rows or more and starts with a row that is not
+    late (of a linked pair the smaller set never is), or when it is a cell of a split list.
+    Each row gets its list's first row as centre, and whether the list has more than two
+    rows. The last two rows of the last list wait for the next batch, nothing more.
+    """
+    fields = ("shingle", "cell", "late", "cls", "n", "at")
+    held, before, centre = None, 0, None
+
+    def emit(x, upto, rank, length, first):
+        keep = (length >= 2) & (first["late"] == 0) | (x["cell"] > 0)
+        keep[upto:] = False
+        out = {"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"],
+               "c_cls": first["cls"], "c_n": first["n"], "c_at": first["at"], "big": length > 2}
+        return pd.DataFrame(out)[keep]
+
+    def group(x):
+        new = np.ones(len(x["cls"]), bool)
+        new[1:] = (x["shingle"][1:] != x["shingle"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
+        starts = np.flatnonzero(new)
+        run = np.cumsum(new) - 1
+        goes_on = centre is not None and all(centre[c] == x[c][0] for c in ("shingle", "cell"))
+        first = {c: x[c][starts][run] for c in fields}
+        length = np.diff(np.append(starts, len(run)))[run]
+        rank = np.arange(len(run)) - starts[run]
+        if goes_on:
+            length[run == 0] += before
+            rank[run == 0] += before
+            for c in fields:
+                first[c][run == 0] = centre[c]
+        return starts, run, rank, length, first
+
     for pdf in batches:
         if not len(pdf):
             continue
-        x = {c: pdf[c].to_numpy() for c in ("shingle", "cell", "cls", "n", "at")}
+        x = {c: pdf[c].to_numpy() for c in fields}
         if held is not None:
             x = {c: np.concatenate([held[c], v]) for c, v in x.items()}
-        new = np.ones(len(x["cls"]), bool)
-        new[1:] = (x["shingle"][1:] != x["shingle"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
-        if held is not None:
-            new[0] = not used
-        first = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        c_cls = np.where(run >= 0, x["cls"][first[np.maximum(run, 0)]] if len(first) else 0, 0)
-        c_n = np.where(run >= 0, x["n"][first[np.maximum(run, 0)]] if len(first) else 0, 0)
-        c_at = np.where(run >= 0, x["at"][first[np.maximum(run, 0)]] if len(first) else 0, 0)
-        if centre is not None and used:
-            c_cls[run < 0], c_n[run < 0], c_at[run < 0] = centre
-        last_open = ~new  # rows that follow another row of their list
-        pair = np.zeros(len(new), bool)
-        pair[:-1] = last_open[1:]
-        keep = last_open | pair | (x["cell"] > 0)
-        size = len(keep) - 1  # the last row waits for the next batch
-        out = pd.DataFrame({"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"], "c_cls": c_cls, "c_n": c_n, "c_at": c_at})
-        yield out[:size][keep[:size]]
-        held = {c: v[-1:] for c, v in x.items()}
-        used = bool(last_open[-1])
-        centre = (c_cls[-1], c_n[-1], c_at[-1])
-    if held is not None and (used or held["cell"][0] > 0):
-        yield pd.DataFrame({"shingle": held["shingle"], "cell": held["cell"], "cls": held["cls"], "n": held["n"], "at": held["at"],
-                            "c_cls": [centre[0]], "c_n": [centre[1]], "c_at": [centre[2]]})
+        starts, run, rank, length, first = group(x)
+        upto = max(len(run) - 2, starts[-1])
+        length[(run == run[-1]) & (np.arange(len(run)) < upto)] = 3  # at least two rows follow
+        yield emit(x, upto, rank, length, first)
+        centre = {c: first[c][-1] for c in fields}
+        before = int(rank[upto])
+        held = {c: v[upto:] for c, v in x.items()}
+    if held is not None:
+        starts, run, rank, length, first = group(held)
+        yield emit(held, len(run), rank, length, first)
 
 
 def overlap_divide_skip(query: np.ndarray, other: np.ndarray, need: int) -> int:
@@ -236,8 +253,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
        rare shingles) is checked against the list's other classes, and the centre of each
        cell of a split list against the whole list's: one candidate per list entry, however
        many copies there are.
-    2. Classes of one list that round 1 left in different components are compared; the
-       list's main component is not compared with itself. So large groups of copies cost
+    2. Classes of one list (of three or more) that round 1 left in different components are
+       compared; the list's main component is not compared with itself. So large groups of copies cost
        about one check per member instead of one per pair, and every pair that could still
        join two components is checked.
 
@@ -261,9 +278,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     sketch = spark.sparkContext.broadcast(counts)
     rows = described.where("part is null").select("id", "row", "n", "cls")
 
-    postings = base.mapInPandas(_postings(sketch, cell_rows), "shingle long, cell int, cls long, n int, at int")
-    lists = stored(spark, postings.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "at", "cls")
-                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int, c_at int"), "short-lists")
+    postings = base.mapInPandas(_postings(sketch, cell_rows), "shingle long, cell int, cls long, n int, at int, late byte")
+    lists = stored(spark, postings.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "late", "at", "cls")
+                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int, c_at int, big boolean"), "short-lists")
     centres = lists.where("cell > 0 and cls = c_cls and n = c_n").select("shingle", "at", "cls", "n")
     tops = centres.groupBy("shingle").agg(F.min(F.struct("at", "cls", "n")).alias("top"))
     across = centres.join(tops, "shingle").select("cls", "n", "at", F.col("top.cls").alias("c_cls"), F.col("top.n").alias("c_n"), F.col("top.at").alias("c_at"))
@@ -276,7 +293,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     first = connected_components(spark, _edges(links))
 
     # round 2: lists with classes of several components
-    placed = (lists.select("shingle", "cls", "n", "at").distinct().withColumn("node", _node("cls", "n"))
+    placed = (lists.where("big or cell > 0").select("shingle", "cls", "n", "at").distinct().withColumn("node", _node("cls", "n"))
               .join(first, "node", "left").withColumn("component", F.coalesce("component", "node")))
     sizes = placed.groupBy("shingle", "component").agg(F.count("*").alias("size"))
     mains = (sizes.groupBy("shingle").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
