@@ -19,6 +19,8 @@ SKETCH_BITS = 22
 _SKETCH_PARTS = 64
 #: Bits of the filter that spares most texts that no candidate needs the join with the candidates.
 FILTER_BITS = 22
+#: Lists up to this long are compared within themselves at once, longer ones in two rounds.
+COMPARED_AT_ONCE = 16
 #: An inverted list is split into cells of about this many documents.
 CELL_ROWS = 8192
 
@@ -112,56 +114,64 @@ def _postings(sketch, cell_rows: int):
     return run
 
 
+def may_link(n, m, n_at, m_at):
+    """Whether sets of sizes n, m whose first shared shingle is at these places may be linked."""
+    return (100 * np.minimum(n, m) >= SIMILARITY_PERCENT * np.maximum(n, m)) & (np.minimum(n - n_at, m - m_at) >= required_overlap(n, m))
+
+
 def _lists(batches):
-    """Of rows sorted by (shingle, cell, late, at), those in lists that may hold a pair.
+    """What rows sorted by (shingle, cell, late, at), that is inverted lists, have to offer.
 
-    A list is passed on when it has two rows or more and starts with a row that is not
-    late (of a linked pair the smaller set never is), or when it is a cell of a split list.
-    Each row gets its list's first row as centre, and whether the list has more than two
-    rows. The last two rows of the last list wait for the next batch, nothing more.
+    A list whose first row is late holds no linked pair (the smaller set of one is never
+    late). Lists of up to ``COMPARED_AT_ONCE`` rows give their pairs that may be linked.
+    Longer ones, and cells of split lists, give each row with the list's first row as
+    centre. Of a batch's last list at most that many rows wait for the next batch.
     """
     fields = ("shingle", "cell", "late", "cls", "n", "at")
-    held, before, centre = None, 0, None
-
-    def emit(x, upto, rank, length, first):
-        keep = (length >= 2) & (first["late"] == 0) | (x["cell"] > 0)
-        keep[upto:] = False
-        out = {"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"],
-               "c_cls": first["cls"], "c_n": first["n"], "c_at": first["at"], "big": length > 2}
-        return pd.DataFrame(out)[keep]
-
-    def group(x):
+    held, centre = None, None
+
+    def pairs_of(x, run, short):
+        out = []
+        for d in range(1, COMPARED_AT_ONCE):
+            if d >= len(run):
+                break
+            i = np.flatnonzero(short[d:] & (run[d:] == run[:-d]))
+            if not len(i):
+                break
+            j = i + d
+            ok = may_link(x["n"][i], x["n"][j], x["at"][i], x["at"][j]) & ((x["cls"][i] != x["cls"][j]) | (x["n"][i] != x["n"][j]))
+            i, j = i[ok], j[ok]
+            out.append(pd.DataFrame({"cls": x["cls"][j], "n": x["n"][j], "c_cls": x["cls"][i], "c_n": x["n"][i]}))
+        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"cls": [], "n": [], "c_cls": [], "c_n": []})
+
+    def work(x, last):
+        nonlocal held, centre
         new = np.ones(len(x["cls"]), bool)
         new[1:] = (x["shingle"][1:] != x["shingle"][:-1]) | (x["cell"][1:] != x["cell"][:-1])
-        starts = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        goes_on = centre is not None and all(centre[c] == x[c][0] for c in ("shingle", "cell"))
+        starts, run = np.flatnonzero(new), np.cumsum(new) - 1
         first = {c: x[c][starts][run] for c in fields}
         length = np.diff(np.append(starts, len(run)))[run]
-        rank = np.arange(len(run)) - starts[run]
-        if goes_on:
-            length[run == 0] += before
-            rank[run == 0] += before
+        if centre is not None and all(centre[c] == x[c][0] for c in ("shingle", "cell")):
+            length[run == 0] = COMPARED_AT_ONCE + 1
             for c in fields:
                 first[c][run == 0] = centre[c]
-        return starts, run, rank, length, first
+        wait = (run == run[-1]) & (length <= COMPARED_AT_ONCE) & (not last)
+        held = {c: v[wait] for c, v in x.items()} if wait.any() else None
+        centre = None if held else {c: first[c][-1] for c in fields}
+        long_ = (length > COMPARED_AT_ONCE) | (x["cell"] > 0)
+        alive = ~wait & (first["late"] == 0)
+        pairs = pairs_of(x, run, alive & ~long_)
+        rows = pd.DataFrame({"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"],
+                             "c_cls": first["cls"], "c_n": first["n"], "c_at": first["at"]})[~wait & long_ & (alive | (x["cell"] > 0))]
+        return pd.concat([rows.astype({"shingle": "Int64", "cell": "Int32", "at": "Int32", "c_at": "Int32"}), pairs])[
+            ["shingle", "cell", "cls", "n", "at", "c_cls", "c_n", "c_at"]]
 
     for pdf in batches:
-        if not len(pdf):
-            continue
-        x = {c: pdf[c].to_numpy() for c in fields}
-        if held is not None:
-            x = {c: np.concatenate([held[c], v]) for c, v in x.items()}
-        starts, run, rank, length, first = group(x)
-        upto = max(len(run) - 2, starts[-1])
-        length[(run == run[-1]) & (np.arange(len(run)) < upto)] = 3  # at least two rows follow
-        yield emit(x, upto, rank, length, first)
-        centre = {c: first[c][-1] for c in fields}
-        before = int(rank[upto])
-        held = {c: v[upto:] for c, v in x.items()}
+        if len(pdf):
+            x = {c: pdf[c].to_numpy() for c in fields}
+            yield work(x if held is None else {c: np.concatenate([held[c], v]) for c, v in x.items()}, False)
     if held is not None:
-        starts, run, rank, length, first = group(held)
-        yield emit(held, len(run), rank, length, first)
+        yield work(held, True)
 
 
 def overlap_divide_skip(query: np.ndarray, other: np.ndarray, need: int) -> int:
@@ -249,11 +259,12 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     lists, so passages and phrases that many documents share are never merged. Only short
     lists are shuffled. Two rounds then look at them:
 
-    1. Each list's centre (the class whose short list it is earliest, so with the fewest
+    1. Lists of up to ``COMPARED_AT_ONCE`` classes are compared within themselves. In longer
+       ones the centre (the class whose short list it is earliest, so with the fewest
        rare shingles) is checked against the list's other classes, and the centre of each
        cell of a split list against the whole list's: one candidate per list entry, however
        many copies there are.
-    2. Classes of one list (of three or more) that round 1 left in different components are
+    2. Classes of one longer list that round 1 left in different components are
        compared; the list's main component is not compared with itself. So large groups of copies cost
        about one check per member instead of one per pair, and every pair that could still
        join two components is checked.
@@ -271,21 +282,24 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
         _describe, f"id {docs.schema[key].dataType.simpleString()}, row long, n long, cls long, part int, counts binary"), "shingle-sizes")
     parts = (described.where("part is not null").groupBy("part")
              .applyInPandas(_sum_parts, "part int, counts binary").collect())
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     width = len(counts) // _SKETCH_PARTS
     for r in parts:  # a sketch of fixed size, not one entry per document
-        counts[r["part"] * width: (r["part"] + 1) * width] = np.frombuffer(zlib.decompress(r["counts"]), "<u8")
+        counts[r["part"] * width: (r["part"] + 1) * width] = np.minimum(np.frombuffer(zlib.decompress(r["counts"]), "<u8"), 0xFFFFFFFF)
     sketch = spark.sparkContext.broadcast(counts)
     rows = described.where("part is null").select("id", "row", "n", "cls")
 
     postings = base.mapInPandas(_postings(sketch, cell_rows), "shingle long, cell int, cls long, n int, at int, late byte")
-    lists = stored(spark, postings.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "late", "at", "cls")
-                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int, c_at int, big boolean"), "short-lists")
+    offered = stored(spark, postings.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "late", "at", "cls")
+                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int, c_at int"), "list-pairs")
+    lists = offered.where("shingle is not null")
     centres = lists.where("cell > 0 and cls = c_cls and n = c_n").select("shingle", "at", "cls", "n")
     tops = centres.groupBy("shingle").agg(F.min(F.struct("at", "cls", "n")).alias("top"))
     across = centres.join(tops, "shingle").select("cls", "n", "at", F.col("top.cls").alias("c_cls"), F.col("top.n").alias("c_n"), F.col("top.at").alias("c_at"))
     starred = lists.select("cls", "n", "at", "c_cls", "c_n", "c_at").union(across).where("cls <> c_cls or n <> c_n")
-    stars = _as_pairs(starred.where(_possible("n", "c_n", "at", "c_at")), _node("cls", "n"), _node("c_cls", "c_n"))
+    stars = starred.where(_possible("n", "c_n", "at", "c_at")).select("cls", "n", "c_cls", "c_n")
+    short = offered.where("shingle is null").select("cls", "n", "c_cls", "c_n")
+    stars = _as_pairs(stars.union(short), _node("cls", "n"), _node("c_cls", "c_n"))
     reps = rows.where("n > 0").groupBy("cls", "n").agg(F.min("row").alias("row"))
 
     checked = stored(spark, stars, "candidates")
@@ -293,7 +307,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     first = connected_components(spark, _edges(links))
 
     # round 2: lists with classes of several components
-    placed = (lists.where("big or cell > 0").select("shingle", "cls", "n", "at").distinct().withColumn("node", _node("cls", "n"))
+    placed = (lists.select("shingle", "cls", "n", "at").distinct().withColumn("node", _node("cls", "n"))
               .join(first, "node", "left").withColumn("component", F.coalesce("component", "node")))
     sizes = placed.groupBy("shingle", "component").agg(F.count("*").alias("size"))
     mains = (sizes.groupBy("shingle").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
