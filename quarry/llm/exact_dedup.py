@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import BLANK, stored, table
@@ -29,11 +29,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     Defined cases: a null text is empty; of equal rows the smallest key stays, null keys
     last, and of rows that also share the key exactly one; an empty table gives no rows;
     input columns named like a result column are replaced. Names starting ``__`` are
-    reserved. Rows are told apart by scan position, so ``docs`` must be a table scan or a
-    deterministic projection of one.
+    reserved.
     """
     norm = normalised(F.col(text))
-    base = docs.drop("keep_id", "group_size", "kept").withColumn("__row", F.monotonically_increasing_id())
+    base = docs.drop("keep_id", "group_size", "kept").withColumn("__row", F.xxhash64(key, text))
     shaped = base.select("__row", F.col(key).alias("__key"), norm.alias("__norm"))
     shaped = shaped.withColumns({"__len": F.length("__norm"),
                                  "__prefix": F.xxhash64(F.substring("__norm", 1, prefix_chars))})
@@ -41,17 +40,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     heads = (shaped.select("__len", "__prefix").join(lengths, "__len", "left_semi")
              .groupBy("__len", "__prefix").agg(F.count("*").alias("n")).where("n > 1")
              .select("__len", "__prefix"))
+    # a row is known by a hash of its key and text, the same in every scan
     full = stored(spark, shaped.join(heads, ["__len", "__prefix"], "left_semi")
                   .select("__row", "__key", F.sha2("__norm", 256).alias("__full")), "full-hash")
     first = F.min(F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"),
                            F.col("__row").alias("row")))
     groups = full.groupBy("__full").agg(first.alias("__first"), F.count("*").alias("__n")).where("__n > 1")
-    decided = full.join(groups, "__full").select("__row", "__first", "__n")
-    return (base.join(decided, "__row", "left")
+    decided = full.join(groups, "__full").groupBy("__row").agg(F.min("__first").alias("__first"), F.min("__n").alias("__n"))
+    copy = F.row_number().over(Window.partitionBy("__row").orderBy("__row"))  # of wholly repeated rows
+    return (base.join(decided, "__row", "left").withColumn("__copy", copy)
             .withColumns({"keep_id": F.when(F.col("__n").isNull(), F.col(key)).otherwise(F.col("__first.key")),
                           "group_size": F.coalesce("__n", F.lit(1)).cast("long"),
-                          "kept": F.coalesce(F.col("__first.row") == F.col("__row"), F.lit(True))})
-            .drop("__row", "__first", "__n"))
+                          "kept": F.coalesce((F.col("__first.row") == F.col("__row")) & (F.col("__copy") == 1), F.lit(True))})
+            .drop("__row", "__first", "__n", "__copy"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,7 +142,8 @@ def _lists(batches):
             ok = may_link(x["n"][i], x["n"][j], x["at"][i], x["at"][j]) & ((x["cls"][i] != x["cls"][j]) | (x["n"][i] != x["n"][j]))
             i, j = i[ok], j[ok]
             out.append(pd.DataFrame({"cls": x["cls"][j], "n": x["n"][j], "c_cls": x["cls"][i], "c_n": x["n"][i]}))
-        return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"cls": [], "n": [], "c_cls": [], "c_n": []})
+        kinds = {"cls": np.int64, "n": np.int32, "c_cls": np.int64, "c_n": np.int32}
+        return pd.concat(out or [pd.DataFrame({c: np.zeros(0, k) for c, k in kinds.items()})]).drop_duplicates()
 
     def work(x, last):
         nonlocal held, centre
@@ -277,7 +278,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     keyed row; repeated rows share a class; an empty table gives no rows; extra columns are
     not carried.
     """
-    base = docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
+    base = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
     described = stored(spark, base.mapInPandas(
         _describe, f"id {docs.schema[key].dataType.simpleString()}, row long, n long, cls long, part int, counts binary"), "shingle-sizes")
     parts = (described.where("part is not null").groupBy("part")
@@ -351,13 +352,14 @@ def _edges(links: DataFrame) -> DataFrame:
 def _check(spark: SparkSession, pairs: DataFrame, reps: DataFrame, base: DataFrame) -> DataFrame:
     """The candidate pairs whose full sets are similar enough, from one text of each class.
 
-    A bitmap of fixed size over hashed row numbers first passes over the texts that are
-    not wanted, so that the join shuffles few of them; what it lets through by accident
+    ``row`` is a hash of key and text, so it is the same in every scan, and repeated rows
+    count once. A bitmap of fixed size over these first passes over the texts that are not
+    wanted, so that the join shuffles few of them; what it lets through by accident
     (all texts, once it is full) the join itself drops.
     """
     sides = [pairs.select("*", F.lit(s).alias("side"), F.col(s + "_cls").alias("cls"), F.col(s + "_n").cast("long").alias("n")) for s in "ab"]
     members = stored(spark, sides[0].union(sides[1]).join(reps, ["cls", "n"]).drop("cls", "n"), "members")
-    slot = F.pmod(F.xxhash64("row"), F.lit(1 << FILTER_BITS))
+    slot = F.pmod("row", F.lit(1 << FILTER_BITS))
     parts = (members.groupBy(F.bitmap_bucket_number(slot + 1).alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")).collect())
     bits = np.zeros(1 << FILTER_BITS, bool)
@@ -371,7 +373,7 @@ def _check(spark: SparkSession, pairs: DataFrame, reps: DataFrame, base: DataFra
         s = slots.to_numpy()
         return pd.Series((wanted.value[s >> 3] >> (7 - (s & 7))) & 1 == 1)
 
-    texts = base.select("row", "text").withColumn("wanted", may_be_wanted(slot)).where("wanted").select("row", "text")
+    texts = base.select("row", "text").withColumn("wanted", may_be_wanted(slot)).where("wanted").groupBy("row").agg(F.max("text").alias("text"))
     both = (members.join(texts, "row").groupBy(*pairs.columns)
             .agg(*[F.max(F.when(F.col("side") == s, F.col("text"))).alias("text_" + s) for s in "ab"]))
     return both.mapInPandas(_verify, "a_cls long, a_n int, b_cls long, b_n int")

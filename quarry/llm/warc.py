@@ -54,6 +54,8 @@ def warc_records(pages: DataFrame, key: str = "page_id", payload: str = "html",
     Equal payloads meet by their digest: the owners (least key, null keys last) are found by
     an aggregate with map-side combine, and only the join back shuffles payloads, so a
     payload that a third of the pages share is split by AQE like any skewed join key.
+    Rows are told apart by scan position, so ``pages`` must be a table scan or a projection
+    of one.
     """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary"))
     target = F.col(url).cast("string") if url in pages.columns else F.lit(None).cast("string")
