@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarry.session import checkpoint_dir
 
 BLANK = "\\x20\\x09-\\x0D"
+_HASH_STEPS = 1 << 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,14 +46,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
     ``labels`` holds ``key`` and ``label``. Returns (rows with ``text``, ``label`` and
     ``part``, a stable number from 0 to 5 for cross-fitting; learnable rows by label).
-    Only keys and labels are ranked; the texts of the bounded sample are joined after.
+    Only keys and labels are looked at, and few ranked; the texts of the bounded sample are joined after.
     """
     pool = (labels.where(~held_out(F.col(key)) & F.col(label).isNotNull())
-            .select(F.col(key), F.col(label).alias("label"), F.xxhash64(key).alias("__h")))
+            .select(F.col(key), F.col(label).alias("label"), F.pmod(F.xxhash64(key), F.lit(_HASH_STEPS)).alias("__u")))
     totals = {r["label"]: r["n"] for r in pool.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("label").orderBy("__h", key)
-    ids = (pool.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= per_class)
-           .select(F.col(key).alias("__key"), "label", F.pmod("__h", F.lit(6)).cast("int").alias("part")))
+    # a label's hash limit lets through a few more rows than wanted, and only those are ranked
+    limit = F.lit(_HASH_STEPS)
+    for value, n in totals.items():
+        if n > 2 * per_class:
+            limit = F.when(F.col("label") == value, F.lit(int(_HASH_STEPS * 1.3 * per_class / n))).otherwise(limit)
+    order = Window.partitionBy("label").orderBy("__u", key)
+    ids = (pool.where(F.col("__u") < limit).withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= per_class)
+           .select(F.col(key).alias("__key"), "label", F.pmod("__u", F.lit(6)).cast("int").alias("part")))
     rows = (docs.select(F.col(key).alias("__id"), F.col(text).alias("text"))
             .join(F.broadcast(ids), F.col("__id") == F.col("__key")).select("text", "label", "part"))
     return rows, totals
