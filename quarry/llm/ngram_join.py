@@ -64,10 +64,8 @@ def _describe(batches):
             for s in sets:
                 n.append(len(s))
                 digest.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            seen += np.bincount(_slot(flat), minlength=len(seen)).astype(np.uint32) if len(flat) > 1 << 16 else 0
-            if 0 < len(flat) <= 1 << 16:
-                np.add.at(seen, _slot(flat), 1)
+            for x in sets:
+                np.add.at(seen, _slot(x), 1)
         yield pd.DataFrame({"id": pdf["id"].to_numpy(), "row": pdf["row"].to_numpy(), "n": n, "cls": digest, "part": empty, "counts": empty})
     for p, part in enumerate(np.split(seen, _SKETCH_PARTS)):
         if part.any():

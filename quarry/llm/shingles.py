@@ -17,7 +17,7 @@ SIMILARITY_PERCENT = 75
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xC2B2AE3D27D4EB4F
 _MASK = (1 << 64) - 1
-_CHUNK_BYTES = 1 << 21
+_CHUNK_BYTES = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
