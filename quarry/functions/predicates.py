@@ -8,6 +8,7 @@ in the same codegen stage as the scan.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -74,12 +75,7 @@ def _python_words(text: str) -> list[str]:
     and on the letter/digit classes, so each piece is a query token and hence a
     substring of the lower-cased document text.
     """
-    try:
-        import regex
-        parts = regex.split(r"[^\p{L}\p{N}]+", text.lower())
-    except ImportError:  # pragma: no cover - regex is baked in
-        return []
-    return [p for p in parts if p]
+    return [p for p in re.split(r"[^a-z0-9]+", text.lower()) if p]
 
 
 def term(c: Column | str, value, array: bool = False) -> Column:

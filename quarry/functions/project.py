@@ -45,7 +45,7 @@ def format_day(c: Column | str) -> Column:
 
 def first_line(c: Column | str) -> Column:
     """Text before the first newline."""
-    return F.split(_c(c), "\n").getItem(0)
+    return F.substring_index(_c(c), "\n", 1)
 
 
 def prefix(c: Column | str, n: int) -> Column:

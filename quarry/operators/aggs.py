@@ -116,15 +116,13 @@ def own_type(counts: DataFrame, bucket: str, rest) -> T.StructType:
 def top_terms_histogram(df: DataFrame, outer: str, ts: str, size: int = DEFAULT_BUCKETS,
                         unit: str = "month", metrics: Sequence[Column] = (),
                         bucket: str = "bucket") -> DataFrame:
-    """Terms bucket with a calendar histogram inside (A1 + A6 + A8), one scan.
+    """Terms bucket with a calendar histogram inside (A1 + A6 + A8).
 
-    The (key, bucket) aggregate is built first; the top ``size`` keys are read
-    off it (documents per key = sum of its buckets) and kept by a broadcast
-    semi-join whose build side has at most ``size`` rows.
+    The top ``size`` keys are ranked on all rows, those without a date included, and kept
+    by a broadcast semi-join whose build side has at most ``size`` rows.
     """
     counts = bucket_counts(df.where(F.col(outer).isNotNull()), ts, [outer], unit, metrics, bucket)
-    top = counts.groupBy(outer).agg(F.sum("doc_count").alias("_n")) \
-                .orderBy(F.col("_n").desc(), F.col(outer).asc()).limit(size).select(outer)
+    top = terms_agg(df, outer, size=size).select(outer)
     kept = counts.join(F.broadcast(top), outer, "left_semi")
     return fill_gaps(kept, [outer], unit, bucket)
 

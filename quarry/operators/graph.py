@@ -15,30 +15,19 @@ _CONSOLIDATE_EVERY = 16
 
 
 def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent: str = "parent",
-              node: str = "node", max_rounds: int | None = None,
-              partitions: int | None = None, hops: int = 2, max_growth: float = 4.0,
-              broadcast_rows: int = 2_000_000) -> DataFrame:
+              node: str = "node", partitions: int | None = None) -> DataFrame:
     """All nodes reachable from ``roots`` along child -> parent edges, each once.
 
     Breadth-first frontier expansion. ``depth`` is the shortest distance from
     a root. Each round joins only the frontier (the nodes at distance k) with
     the edges, drops nodes already visited (anti-join) and stops when the
-    frontier is empty.
+    frontier is empty, so there are as many rounds as the graph is deep.
 
-    With ``hops=2`` the edge table also holds the two-step pairs, so one round
-    finds the nodes at distance k+1 and k+2: a node's distance is k plus the
-    fewest steps from the level-k frontier, and the next frontier is level k+2.
-    That halves the rounds. The two-step table is counted first and is only
-    used while it stays within ``max_growth`` times the edge table, so a graph
-    with wide merges falls back to one step per round.
-
-    The edge table is hash-partitioned on the child and checkpointed once.
-    The frontier and the visited set are counted every round; while they hold
-    at most ``broadcast_rows`` node ids they are broadcast, so a round shuffles
-    nothing but the found nodes, and above that they are hash-joined. Each round's new nodes are written
-    as a table in the shared checkpoint folder (lineage cut, nothing
-    recomputed). The visited set is the union of those pieces, merged every
-    few rounds. A lost executor costs at most the current round.
+    The edge table is hash-partitioned on the child and checkpointed once. Each
+    round's new nodes are written as a table in the shared checkpoint folder
+    (lineage cut, nothing recomputed); the joins' strategy is left to AQE, which
+    knows the bytes of those tables. The visited set is the union of the pieces,
+    merged every few rounds. A lost executor costs at most the current round.
     """
     spark = edges.sparkSession
     work = scratch_dir(spark, f"reach-{uuid.uuid4().hex}")
@@ -49,47 +38,26 @@ def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent:
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    e1 = written(edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct(), "e1")
-    step_edges = e1.withColumn("_hop", F.lit(1))
-    width = 1
-    if hops >= 2:
-        a, b = e1.alias("a"), e1.alias("b")
-        e2 = written(a.join(b, F.col("a._p") == F.col("b._c"))
-                     .select(F.col("a._c").alias("_c"), F.col("b._p").alias("_p")).distinct(), "e2")
-        if e2.count() <= max_growth * max(e1.count(), 1):
-            step_edges = step_edges.unionByName(e2.withColumn("_hop", F.lit(2)))
-            width = 2
-    step_edges = step_edges.repartition(n, "_c").checkpoint()
+    step = (edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct()
+            .repartition(n, "_c").checkpoint())
 
     start = written(roots.select(F.col(node).alias("node")).distinct()
                     .withColumn("depth", F.lit(0)), "round-0")
     pieces = [start]
     frontier = start
-    frontier_rows = seen_rows = start.count()
     level = 0
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
+    while True:
+        level += 1
         seen = reduce(lambda x, y: x.unionByName(y), pieces).select("node")
-        # counted sizes decide the join strategy: broadcast below the limit,
-        # hash-partitioned shuffle joins above it
-        fr = F.broadcast(frontier) if frontier_rows <= broadcast_rows else frontier
-        sn = F.broadcast(seen) if seen_rows <= broadcast_rows else seen
-        found = fr.join(step_edges, fr["node"] == step_edges["_c"]) \
-                  .groupBy(F.col("_p").alias("node")) \
-                  .agg((F.lit(level) + F.min("_hop")).cast("int").alias("depth")) \
-                  .join(sn, "node", "left_anti")
-        found = written(found, f"round-{rounds}")
-        found_rows = found.count()
-        if found_rows == 0:
+        found = frontier.join(step, frontier["node"] == step["_c"]) \
+                        .select(F.col("_p").alias("node")).distinct() \
+                        .join(seen, "node", "left_anti").withColumn("depth", F.lit(level))
+        frontier = written(found, f"round-{level}")
+        if frontier.isEmpty():
             break
-        pieces.append(found)
-        seen_rows += found_rows
-        level += width
-        frontier = found.where(F.col("depth") == F.lit(level))
-        frontier_rows = found_rows          # an upper bound of the frontier's size
+        pieces.append(frontier)
         if len(pieces) >= _CONSOLIDATE_EVERY:
-            pieces = [written(reduce(lambda x, y: x.unionByName(y), pieces), f"visited-{rounds}")]
+            pieces = [written(reduce(lambda x, y: x.unionByName(y), pieces), f"visited-{level}")]
     return reduce(lambda x, y: x.unionByName(y), pieces)
 
 

@@ -109,7 +109,8 @@ def read_pointer(spark: SparkSession, path: str) -> dict | None:
     from pyspark.errors import AnalysisException
     try:
         row = spark.read.schema("version long, previous long") \
-                   .json(f"{path.rstrip('/')}/_pointer").first()
+                   .json(f"{path.rstrip('/')}/_pointer") \
+                   .agg(F.max(F.struct("version", "previous")).alias("p")).first()["p"]
     except AnalysisException as e:
         if _missing_path(e):
             return None
@@ -117,12 +118,18 @@ def read_pointer(spark: SparkSession, path: str) -> dict | None:
     return None if row is None else row.asDict()
 
 
+def _commit_pointer(spark: SparkSession, path: str, version: int, previous: int | None) -> None:
+    """Add the record of a committed version; earlier ones are never touched, so a crash
+    here leaves the table at the version before."""
+    spark.createDataFrame([(version, previous)], "version long, previous long") \
+         .coalesce(1).write.mode("ignore").json(f"{path.rstrip('/')}/_pointer/v={version}")
+
+
 def write_snapshot(df: DataFrame, path: str, version: int, previous: int | None) -> None:
     """Write snapshot ``version`` (overwriting a partial one), then move the pointer."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(_snapshot_path(path, version))
-    spark.createDataFrame([(version, previous)], "version long, previous long") \
-         .coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/_pointer")
+    _commit_pointer(spark, path, version, previous)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
@@ -170,8 +177,7 @@ def append(df: DataFrame, path: str) -> None:
 
 # --- K6: partial update ------------------------------------------------------
 
-def partial_update(base: DataFrame, updates: DataFrame, key: str,
-                   seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+def partial_update(base: DataFrame, updates: DataFrame, key: str, seq: str) -> tuple[DataFrame, DataFrame]:
     """Merge given fields into existing rows by key (K6).
 
     ``updates`` holds the key and one column per field; NULL means "not given".
@@ -181,7 +187,7 @@ def partial_update(base: DataFrame, updates: DataFrame, key: str,
     updates of keys without a row are errors, not inserts.
     """
     fields = [c for c in updates.columns if c not in (key, seq)]
-    order = F.col(seq) if seq else F.lit(0)
+    order = F.col(seq)
     folded = updates.groupBy(key).agg(*[
         F.max(F.when(F.col(f).isNotNull(), F.struct(order.alias("s"), F.col(f).alias("v"))))
          .getField("v").alias(f) for f in fields])
@@ -260,11 +266,15 @@ class TypedFrame:
 
 # --- K4 at scale: base snapshot + change log, merged on read -----------------
 
+# Partition column of the change log; a user column of this name is not supported.
+LOG_BATCH = "quarry_batch"
+
+
 class ChangeLogTable:
     """A keyed table stored as a base snapshot plus per-batch change files.
 
     Writing a batch costs the batch, not the table: its rows, folded to the
-    newest version per key, go to ``log/batch=<id>`` (overwritten on replay).
+    newest version per key, go to ``log/quarry_batch=<id>`` (overwritten on replay).
     Reading folds base and newer log batches with one partially aggregated
     ``max_by``. ``compact`` writes that fold as the next base, then moves the
     pointer; batches at or below the pointer are no longer read.
@@ -281,21 +291,21 @@ class ChangeLogTable:
 
     def append_changes(self, changes: DataFrame, batch_id: int) -> None:
         latest_per_key(changes, self.key, self.order).write.mode("overwrite") \
-            .parquet(f"{self.path}/log/batch={batch_id}")
+            .parquet(f"{self.path}/log/{LOG_BATCH}={batch_id}")
 
     def _log(self, after: int | None, upto: int | None = None) -> DataFrame | None:
         from pyspark.errors import AnalysisException
         try:
-            log = self.spark.read.parquet(f"{self.path}/log")
+            log = self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/log")
         except AnalysisException as e:
             if _missing_path(e):  # no batch written yet
                 return None
             raise
         if after is not None:
-            log = log.where(F.col("batch") > F.lit(after))
+            log = log.where(F.col(LOG_BATCH) > F.lit(after))
         if upto is not None:
-            log = log.where(F.col("batch") <= F.lit(upto))
-        return log.drop("batch")
+            log = log.where(F.col(LOG_BATCH) <= F.lit(upto))
+        return log.drop(LOG_BATCH)
 
     def current(self, upto: int | None = None) -> DataFrame:
         v = self._base_version()
@@ -317,5 +327,4 @@ class ChangeLogTable:
         if v is not None and v >= upto:
             return
         self.current(upto).write.mode("overwrite").parquet(_snapshot_path(self.path, upto))
-        self.spark.createDataFrame([(upto, v)], "version long, previous long") \
-            .coalesce(1).write.mode("overwrite").json(f"{self.path}/_pointer")
+        _commit_pointer(self.spark, self.path, upto, v)

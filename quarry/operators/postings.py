@@ -72,10 +72,11 @@ def bm25_postings(post: DataFrame, lengths: DataFrame, tokens: list[str], id_col
     subquery. Same formula as ``quarry.operators.search.bm25_score``.
     """
     hits = post.where(F.col("token").isin(tokens))
+    times = F.create_map(*[F.lit(x) for t in dict.fromkeys(tokens) for x in (t, float(tokens.count(t)))])
     dfreq = hits.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
     stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avgdl"))
     s = stats.select(F.struct("n_docs", "avgdl").alias("s")).scalar()
     idf = F.log(F.lit(1.0) + (s["n_docs"] - F.col("_df") + F.lit(0.5)) / (F.col("_df") + F.lit(0.5)))
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("doc_len") / s["avgdl"])
-    part = idf * F.col("tf") / (F.col("tf") + norm)
+    part = times[F.col("token")] * idf * F.col("tf") / (F.col("tf") + norm)
     return hits.join(F.broadcast(dfreq), "token").groupBy(id_col).agg(F.sum(part).alias("_score"))

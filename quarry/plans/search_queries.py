@@ -163,7 +163,7 @@ def hit_lines(spark, d):
     created = F.coalesce(F.lit(None).cast("timestamp_ntz"), F.col("o_orderdate"))
     return orders.select("o_orderkey", hit_line(F.lit("orders"), F.lit("_doc"),
                                                 F.col("o_orderkey").cast("string"), created,
-                                                F.left("o_orderpriority", F.lit(50))).alias("line"))
+                                                "o_orderpriority").alias("line"))
 
 
 def subject_column(spark, d):
@@ -276,7 +276,7 @@ ORACLE: dict = {
     "hit_lines": """
         SELECT o_orderkey, format('/{}/{}/{} ({}): {}', 'orders', '_doc', CAST(o_orderkey AS VARCHAR),
                strftime(coalesce(NULL, o_orderdate), '%Y-%m-%d'),
-               string_split(left(o_orderpriority, 50), chr(10))[1]) AS line FROM orders""",
+               string_split(o_orderpriority, chr(10))[1]) AS line FROM orders""",
     "subject_column": """
         SELECT doc_id, left(string_split(text, chr(10))[1], 80) AS subject FROM documents""",
 }

@@ -20,16 +20,16 @@ TYPE_NAMES = {
 # How each type-line name is declared (text vs keyword form).
 TYPE_KINDS = {"STRING": "text", "CAT": "keyword", "INT": "integer", "DOUBLE": "double"}
 
-_TYPE_WORD = r"^[A-Z][A-Z0-9_]*$"
-
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Delimited source (S3/S5): header names the columns, every value a string.
 
     No schema inference: that would scan the data twice and still give
-    strings here. CRLF line ends are accepted.
+    strings here. CRLF line ends are accepted; values may be quoted, with quotes doubled and
+    line breaks inside, so a file is one split.
     """
     return (spark.read.option("sep", sep).option("header", True)
+            .option("multiLine", True).option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("inferSchema", False).csv(path))
 
 
@@ -44,14 +44,12 @@ def schema_from_types(columns: list[str], type_names: list[str]) -> T.StructType
 
 
 def find_type_row(raw: DataFrame) -> list[str]:
-    """The type line: the row whose every value is an upper-case type word.
+    """The type line: the one row made only of known type names, in whichever file it is.
 
-    Works when the input spans many files and whatever the order of files:
-    the candidates are found by a distributed filter and at most two distinct
-    ones come back to the driver, which must agree.
+    Other rows of upper-case words are data. The candidates are found by a distributed
+    filter and at most two distinct ones come back to the driver, which must agree.
     """
-    cond = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).rlike(_TYPE_WORD), F.lit(False))
-                                       for c in raw.columns])
+    cond = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).isin(*TYPE_NAMES), F.lit(False)) for c in raw.columns])
     cands = raw.where(cond).distinct().limit(2).collect()
     if len(cands) != 1:
         raise ValueError(f"expected one type line, found {len(cands)}")
@@ -85,4 +83,4 @@ def write_typed_delimited(df: DataFrame, path: str, type_names: dict[str, str],
                                       T.StructType([T.StructField(c, T.StringType()) for c in cols]))
     as_text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
     types_row.unionByName(as_text).write.mode("overwrite").option("sep", sep) \
-        .option("header", True).csv(path)
+        .option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -115,3 +115,40 @@ def test_postings_written_clustered_and_read_with_pushdown(spark, tmp_dir):
 def test_missing_pointer_is_none_but_other_errors_raise(spark, tmp_dir):
     from quarry.operators.ingest import read_pointer
     assert read_pointer(spark, f"{tmp_dir}/nothing-here") is None
+
+
+def test_pointer_survives_a_crash_between_versions(spark, tmp_dir):
+    from quarry.operators.ingest import read_current, read_pointer, write_snapshot
+    write_snapshot(spark.range(3), f"{tmp_dir}/t", 1, None)
+    spark.range(5).write.parquet(f"{tmp_dir}/t/snapshot-000000000002")  # written, never committed
+    assert read_pointer(spark, f"{tmp_dir}/t")["version"] == 1 and read_current(spark, f"{tmp_dir}/t").count() == 3
+    write_snapshot(spark.range(4), f"{tmp_dir}/t", 2, 1)
+    assert read_current(spark, f"{tmp_dir}/t").count() == 4
+
+
+def test_change_log_keeps_new_columns_and_a_batch_column(spark, tmp_dir):
+    from quarry.operators.ingest import ChangeLogTable
+    t = ChangeLogTable(spark, f"{tmp_dir}/t", "k", ["v"])
+    t.append_changes(spark.createDataFrame([(1, 1, "x")], "k int, v int, batch string"), 0)
+    t.append_changes(spark.createDataFrame([(2, 1, "y", 7)], "k int, v int, batch string, extra int"), 1)
+    got = {r.k: (r.batch, r.extra) for r in t.current().collect()}
+    assert got == {1: ("x", None), 2: ("y", 7)}
+
+
+def test_delimited_quotes_line_breaks_and_upper_case_data(spark, tmp_dir):
+    import os
+
+    from quarry.sources.delimited import load_typed_delimited
+    os.makedirs(f"{tmp_dir}/c")
+    with open(f"{tmp_dir}/c/a.csv", "w", newline="") as f:
+        f.write('Car;Origin\r\nSTRING;CAT\r\nFORD;US\r\n"say ""hi""\nnow; yes";FR\r\n')
+    loaded = load_typed_delimited(spark, f"{tmp_dir}/c")
+    rows = loaded.rows.collect()
+    assert sorted((r.Car, r.Origin) for r in rows) == [("FORD", "US"), ('say "hi"\nnow; yes', "FR")]
+
+
+def test_top_terms_rank_undated_rows_too(spark):
+    from quarry.operators.aggs import top_terms_histogram
+    df = spark.createDataFrame([("a", None)] * 5 + [("a", "2020-01-01"), ("b", "2020-01-01"), ("b", "2020-02-01")], "k string, d string")
+    got = top_terms_histogram(df.withColumn("d", F.to_timestamp("d")), "k", "d", size=1).collect()
+    assert {r.k for r in got} == {"a"}
