@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from quarry.llm.common import stored, table
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a Python worker remembers before it starts afresh (bounds its memory).
+#: Words whose ids a Python worker remembers before it drops the rare ones (bounds its memory).
 CACHED_WORDS = 1_000_000
 
 
@@ -27,10 +28,13 @@ class WordIds:
     """Ids of whole texts, put together from the ids of their blank-separated words.
 
     Exact for a tokenizer whose pre-tokens never contain white space: a word's ids then do
-    not depend on its neighbours. Each distinct word is encoded once per worker.
+    not depend on its neighbours. Words seen in several batches stay remembered; of the
+    others a worker keeps the latest, so its memory is bounded however many words there are.
     """
 
     def __init__(self, path: str):
+        # tasks already fill the cores: a thread pool in every worker only costs memory and time
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
@@ -42,8 +46,29 @@ class WordIds:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.count = np.zeros(1 << 14, np.int64)
+        self.seen = np.zeros(1 << 14, np.int32)
         self.used = 0
 
+    def trim(self, words: int) -> None:
+        """Forget the words seen in one batch only, and beyond ``words`` the least seen of the
+        rest. The counts of those that stay are halved, so that old habits fade."""
+        size = len(self.place)
+        keep = np.flatnonzero(self.seen[:size] > 1)
+        if len(keep) > words:
+            keep = np.sort(keep[np.argpartition(self.seen[keep], -words)[-words:]])
+        flag = np.zeros(size, bool)
+        flag[keep] = True
+        kept = [w for w, k in zip(self.place, flag.tolist()) if k]
+        start, count, seen, ids = self.start[keep], self.count[keep], self.seen[keep] // 2, self.ids
+        self.clear()
+        ends = np.cumsum(count)
+        self.used = int(count.sum())
+        self.ids = np.append(ids[np.repeat(start - ends + count, count) + np.arange(self.used)], np.zeros(1 << 16, np.uint32))
+        spare = np.zeros(1 << 14, np.int64)
+        self.start, self.count = np.append(ends - count, spare), np.append(count, spare)
+        self.seen = np.append(seen, spare.astype(np.int32))
+        self.place = dict(zip(kept, range(len(kept))))
+
     def _encode(self, words: list[str]) -> list[list[int]]:
         """Ids of each word. The default tokenizer's rules leave ASCII letters as they are but
         for their case, and set a full stop or comma apart, so such words go straight to its
@@ -72,10 +97,12 @@ class WordIds:
             first = len(self.place)
             while first + len(part) > len(self.start):
                 self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+                self.seen = np.resize(self.seen, len(self.start))
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.resize(self.ids, 2 * len(self.ids))
             self.start[first: first + len(part)] = self.used + np.cumsum(n) - n
             self.count[first: first + len(part)] = n
+            self.seen[first: first + len(part)] = 0
             self.ids[self.used: self.used + len(flat)] = flat
             self.used += len(flat)
             self.place.update(zip(part, range(first, first + len(part))))
@@ -86,13 +113,14 @@ class WordIds:
         words = pc.dictionary_encode(split.flatten())
         vocabulary = words.dictionary.to_pylist()
         if len(self.place) > CACHED_WORDS:
-            self.clear()
+            self.trim(CACHED_WORDS // 2)
         get = self.place.get
         at = [get(w, -1) for w in vocabulary]
         new = [w for w, i in zip(vocabulary, at) if i < 0]
         if new:
             self._add(new)
             at = [self.place[w] for w in vocabulary]
+        self.seen[at] += 1
         code = np.array(at, np.int64)[words.indices.to_numpy(zero_copy_only=False)] if at else np.zeros(0, np.int64)
         n = self.count[code]
         ends = np.zeros(len(code) + 1, np.int64)
@@ -110,7 +138,7 @@ def _encoder(path: str) -> WordIds:
     return _encoders[path]
 
 
-def _slices(texts: pa.Array, limit: int = 1 << 22):
+def _slices(texts: pa.Array, limit: int = 1 << 21):
     """(start, length) runs of about ``limit`` bytes; a longer text is a run of its own."""
     n = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     lo, size = 0, 0
@@ -124,10 +152,12 @@ def _slices(texts: pa.Array, limit: int = 1 << 22):
 
 
 def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-                 tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+                 tokenizer: str | None = None, end_id: int = END_ID, forget: bool = False) -> DataFrame:
     """One row per piece: the key, ``piece``, ``start``, ``length``, ``ids_crc32``.
 
     A document's ids are its tokens, then ``end_id``; longer ones are cut every ``capacity``.
+    With ``forget`` a worker remembers no words after a task: less memory where the workers
+    also serve other operators, at the price of encoding the words anew in each task.
     """
     path = tokenizer or default_tokenizer()
     kind = docs.schema[key].dataType
@@ -153,6 +183,10 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
                     [keys.take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
                      pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
                     names=[key, "piece", "start", "length", "ids_crc32"])
+                del flat
+                pa.default_memory_pool().release_unused()
+        if forget:
+            encoder.clear()
 
     return docs.select(key, text).mapInArrow(run, schema)
 
@@ -286,7 +320,7 @@ def assign_sequences(spark: SparkSession, pieces: DataFrame, key: str = "doc_id"
 
 
 def best_fit_pack(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-                  capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
+                  capacity: int = CAPACITY, tokenizer: str | None = None, forget: bool = False) -> DataFrame:
     """Pack the pieces of all documents into as few sequences as best-fit decreasing needs.
 
     Returns one row per piece (see the contract of ``op10``); sequence numbers start at 0.
@@ -296,7 +330,7 @@ def best_fit_pack(spark: SparkSession, docs: DataFrame, key: str = "doc_id", tex
     repeated keys are packed like any other; an empty table gives no rows; columns other
     than ``key`` and ``text`` are not carried.
     """
-    pieces = stored(spark, token_pieces(docs, key, text, capacity, tokenizer), "token-pieces")
+    pieces = stored(spark, token_pieces(docs, key, text, capacity, tokenizer, forget=forget), "token-pieces")
     return assign_sequences(spark, pieces, key, capacity)
 
 
@@ -306,4 +340,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents as packed pieces."""
-    return best_fit_pack(spark, docs)
+    return best_fit_pack(spark, docs, forget=True)

@@ -395,3 +395,17 @@ def test_empty_tables(spark, tmp_dir):
     from quarry.llm.catalog import QUERIES
     for name, query in (QUERIES | {"pipeline": corpus_pipeline.run}).items():
         assert query(spark, tmp_dir).count() == 0, name
+
+
+def test_word_cache_that_forgets_gives_the_same_ids(monkeypatch):
+    import pyarrow as pa
+    words = [f"w{i % 97}x{i % 89} plain Mixed, {i % 7}" for i in range(400)]
+    batches = [pa.array(words[i: i + 20]) for i in range(0, 400, 20)]
+    roomy = P.WordIds(P.default_tokenizer())
+    want = [roomy.encode(b) for b in batches]
+    monkeypatch.setattr(P, "CACHED_WORDS", 40)
+    tight = P.WordIds(P.default_tokenizer())
+    for b, (flat, at) in zip(batches, want):
+        ids, starts = tight.encode(b)
+        assert ids.tolist() == flat.tolist() and starts.tolist() == at.tolist()
+        assert len(tight.place) <= 40 + 84
