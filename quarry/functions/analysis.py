@@ -120,20 +120,31 @@ def analyze_literal(spark, text: str, analyzer: Analyzer = text_tokens) -> list[
     return list(row["t"] or [])
 
 
-def string_leaves(schema, prefix: str = "") -> list[str]:
-    """Dotted paths of every string leaf of a schema, nested structs included."""
-    from pyspark.sql.types import StringType, StructType
-    out: list[str] = []
-    for f in schema.fields:
-        path = f"{prefix}{f.name}"
-        if isinstance(f.dataType, StringType):
-            out.append(path)
-        elif isinstance(f.dataType, StructType):
-            out.extend(string_leaves(f.dataType, path + "."))
-    return out
+def _strings_in(c: Column, kind, path: str, exclude: set) -> Column | None:
+    """All strings of a value joined by a space, whatever its nesting; None when it has none."""
+    from pyspark.sql import types as T
+    if path in exclude:
+        return None
+    if isinstance(kind, T.StringType):
+        return c
+    if isinstance(kind, T.StructType):
+        parts = [_strings_in(c.getField(f.name), f.dataType, f"{path}.{f.name}", exclude) for f in kind.fields]
+        parts = [p for p in parts if p is not None]
+        return F.concat_ws(" ", *parts) if parts else None
+    if isinstance(kind, T.MapType):
+        return _strings_in(F.map_values(c), T.ArrayType(kind.valueType), path, exclude - {path})
+    if isinstance(kind, T.ArrayType):
+        if _strings_in(F.lit(None), kind.elementType, path, exclude) is None:
+            return None
+        return F.concat_ws(" ", F.transform(c, lambda x: _strings_in(x, kind.elementType, path, exclude)))
+    return None
 
 
 def all_text(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
-    """All string leaves of a row joined by a space: the input of any-field search."""
-    cols = [F.col(p) for p in string_leaves(df.schema) if p not in set(exclude)]
-    return F.concat_ws(" ", *cols)
+    """All strings of a row joined by a space: the input of any-field search.
+
+    Strings inside structs, arrays, arrays of structs and map values count; ``exclude``
+    names dotted paths.
+    """
+    parts = [_strings_in(F.col(f"`{f.name}`"), f.dataType, f.name, set(exclude)) for f in df.schema.fields]
+    return F.concat_ws(" ", *[p for p in parts if p is not None])

@@ -34,6 +34,9 @@ def field(path: str) -> str:
 
 
 def _literal_tokens(text: str | Sequence[str], analyzer: Analyzer) -> Column:
+    if hasattr(analyzer, "query_tokens"):
+        parts = [text] if isinstance(text, str) else text
+        return F.array(*[F.lit(t) for p in parts for t in analyzer.query_tokens(p)]).cast("array<string>")
     if isinstance(text, str):
         return analyzer(F.lit(text))
     return F.array_distinct(F.flatten(F.array(*[analyzer(F.lit(t)) for t in text])))
@@ -49,7 +52,8 @@ def match(c: Column | str, text: str, analyzer: Analyzer = text_tokens,
     For the default analyzer every token is a substring of ``lower(text)``, so a
     cheap ``contains`` test runs first and the regex split only runs on rows
     that can match. The query tokens are a constant expression, folded once by
-    Catalyst.
+    Catalyst. An analyzer that Catalyst cannot fold has ``query_tokens(text)``, and may
+    have ``common_part(token)``: a substring of every word that gives this token.
     """
     doc_tokens = tokens if tokens is not None else analyzer(_c(c))
     q = _literal_tokens(text, analyzer)
@@ -57,13 +61,16 @@ def match(c: Column | str, text: str, analyzer: Analyzer = text_tokens,
         test = (F.size(q) > 0) & (F.size(F.array_except(q, doc_tokens)) == 0)
     else:
         test = F.arrays_overlap(doc_tokens, q)
+    words = []
     if tokens is None and analyzer is text_tokens and isinstance(text, str) and text.isascii():
-        words = [w for w in _python_words(text)]
-        if words:
-            low = F.lower(_c(c))
-            pre = [low.contains(w) for w in words]
-            gate = reduce(lambda a, b: a & b, pre) if operator == "and" else reduce(lambda a, b: a | b, pre)
-            return gate & test
+        words = _python_words(text)
+    elif tokens is None and hasattr(analyzer, "common_part") and isinstance(text, str):
+        words = [analyzer.common_part(t) for t in analyzer.query_tokens(text)]
+    if words:
+        low = F.lower(_c(c))
+        pre = [low.contains(w) for w in words]
+        gate = reduce(lambda a, b: a & b, pre) if operator == "and" else reduce(lambda a, b: a | b, pre)
+        return gate & test
     return test
 
 

@@ -127,6 +127,20 @@ def top_terms_histogram(df: DataFrame, outer: str, ts: str, size: int = DEFAULT_
     return fill_gaps(kept, [outer], unit, bucket)
 
 
+def nested_buckets(df: DataFrame, outer: str, ts: str, outer_metrics: Sequence[Column] = (),
+                   size: int = DEFAULT_BUCKETS, unit: str = "month", metrics: Sequence[Column] = (),
+                   bucket: str = "bucket") -> DataFrame:
+    """``top_terms_histogram`` with each outer bucket's own document count and metrics beside it.
+
+    ``outer_doc_count`` and ``outer_metrics`` cover all rows of the key, undated ones too;
+    a key without any dated row has one row with a null bucket. The outer side has at most
+    ``size`` rows.
+    """
+    top = terms_agg(df, outer, outer_metrics, size=size).withColumnRenamed("doc_count", "outer_doc_count")
+    inner = top_terms_histogram(df, outer, ts, size, unit, metrics, bucket)
+    return top.join(inner, outer, "left")
+
+
 def top_keys_then(df: DataFrame, outer: str, inner, size: int = DEFAULT_BUCKETS) -> DataFrame:
     """Sub-bucket (A8): run ``inner(df)`` only on the top ``size`` outer keys.
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.analysis import Analyzer, analyze_literal, text_tokens
-from quarry.functions.predicates import match
+from quarry.functions.predicates import bool_query, match
 
 # BM25 parameters of the server's default similarity.
 BM25_K1 = 1.2
@@ -90,3 +91,47 @@ def search(docs: DataFrame, query: str, text_col: str, id_col: str, k: int = DEF
     sc = F.round(score, digits) if digits is not None else score
     out = matches.select(F.col(id_col), *[F.col(c) for c in select], sc.alias("_score"))
     return out.orderBy(F.col("_score").desc(), F.col(id_col).asc()).limit(k)
+
+
+class Clause(NamedTuple):
+    """One scoring clause: a full-text query on a column; optional clauses only add score."""
+
+    column: str
+    text: str
+    analyzer: Analyzer = text_tokens
+    required: bool = True
+
+
+def ranked_page(docs: DataFrame, clauses: Sequence[Clause], id_col: str, k: int = DEFAULT_PAGE_SIZE,
+                must_not: Sequence[Column] = (), filter: Sequence[Column] = (),
+                select: Sequence[Column | str] = (), digits: int | None = None) -> DataFrame:
+    """Best ``k`` documents of a compound query: the BM25 scores of all clauses add up.
+
+    Every required clause must match; without one, at least one optional clause must.
+    ``must_not`` and ``filter`` choose rows without scoring. The statistics of all clauses
+    come from one aggregation over all of ``docs``, read as one scalar subquery. A query
+    word that is repeated counts as often as it is given; a null column scores 0.
+    """
+    spark = docs.sparkSession
+    tokd, terms, stat_cols = docs, [], []
+    for i, c in enumerate(clauses):
+        tokd = tokd.withColumn(f"_tokens{i}", c.analyzer(F.col(c.column)))
+        known = getattr(c.analyzer, "query_tokens", None)
+        terms.append(known(c.text) if known else analyze_literal(spark, c.text, c.analyzer))
+        stat_cols += [F.count(f"_tokens{i}").alias(f"n{i}"), F.avg(F.size(f"_tokens{i}")).alias(f"len{i}")]
+        stat_cols += [F.count_if(F.array_contains(f"_tokens{i}", F.lit(t))).alias(f"df{i}_{j}") for j, t in enumerate(terms[i])]
+    stats = tokd.select(*stat_cols)
+    s = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    score = F.lit(0.0)
+    for i, words in enumerate(terms):
+        norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.size(f"_tokens{i}") / s[f"len{i}"])
+        for j, t in enumerate(words):
+            tf, n = F.size(F.filter(f"_tokens{i}", _equals(t))), s[f"df{i}_{j}"]
+            idf = F.log(F.lit(1.0) + (s[f"n{i}"] - n + F.lit(0.5)) / (n + F.lit(0.5)))
+            score = score + F.when(F.col(f"_tokens{i}").isNotNull(), idf * tf / (tf + norm)).otherwise(0.0)
+    tests = [match(c.column, c.text, c.analyzer) for c in clauses]
+    hits = tokd.where(bool_query(must=[t for c, t in zip(clauses, tests) if c.required], must_not=must_not,
+                                 should=[t for c, t in zip(clauses, tests) if not c.required], filter=filter,
+                                 minimum_should_match=None if any(c.required for c in clauses) else 1))
+    out = hits.select(F.col(id_col), *select, (F.round(score, digits) if digits is not None else score).alias("_score"))
+    return out.orderBy(F.col("_score").desc(), F.col(id_col).asc()).limit(k)

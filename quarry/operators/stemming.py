@@ -1,21 +1,22 @@
-"""English stemming analyzer (T2): stop words, then Porter stems of the vocabulary.
+"""English stemming analyzer (T2): default tokens without stop words, as Porter stems.
 
-Stemming is the only Python in the text path. It runs once per *distinct*
-token in ``mapInPandas`` (Arrow batches); documents get their stems back by a
-join on the token, which Spark plans as a broadcast when the vocabulary is
-small and as a shuffle join when it is not.
+It is an ordinary ``Analyzer`` (``Column -> Column``), so ``match``, ``bool_query``,
+``with_token_field`` and ``ranked_page`` take it. Tokens and stop words are JVM expressions;
+only the stems are made in Python, in Arrow batches with a word cache, without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.functions.analysis import text_tokens
+from quarry.functions.analysis import analyze_literal, text_tokens
+from quarry.functions.predicates import match
 from quarry.functions.stem import porter_stem
 
 
@@ -24,38 +25,41 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _stem_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"token": pdf["token"],
-                            "stem": [porter_stem(t) for t in pdf["token"]]})
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _stems(tokens: pd.Series) -> pd.Series:
+    return tokens.map(lambda ts: None if ts is None else [porter_stem(t) for t in ts])
 
 
-def stem_vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
-    """``(token, stem)`` for every distinct token of ``tokens``."""
-    vocab = tokens.select(F.col(token_col).alias("token")).where(F.col("token").isNotNull()).distinct()
-    return vocab.mapInPandas(_stem_batches, "token string, stem string")
+class EnglishAnalyzer:
+    """Stems of the tokens that are not stop words; null stays null.
 
+    ``stop_words`` is a parameter, for columns and query text alike.
+    """
+
+    def __init__(self, stop_words: Sequence[str] | None = None):
+        self.stop_words = stop_words
+
+    def _kept(self, c: Column | str) -> Column:
+        stops = english_stop_words() if self.stop_words is None else list(self.stop_words)
+        return F.filter(text_tokens(c), lambda t: ~t.isin(stops)) if stops else text_tokens(c)
+
+    def __call__(self, c: Column | str) -> Column:
+        return _stems(self._kept(c))
+
+    def query_tokens(self, text: str) -> list[str]:
+        """The analyzed query text, known when the plan is made."""
+        return [porter_stem(t) for t in analyze_literal(SparkSession.getActiveSession(), text, self._kept)]
 
-def stemmed_token_rows(docs: DataFrame, id_col: str, text_col: str,
-                       stop_words: list[str] | None = None) -> DataFrame:
-    """``(id, token, stem)`` rows of the English analyzer, one per distinct token per doc."""
-    stops = english_stop_words() if stop_words is None else stop_words
-    toks = docs.select(F.col(id_col), F.explode(F.array_distinct(text_tokens(text_col))).alias("token"))
-    toks = toks.where(~F.col("token").isin(stops))
-    return toks.join(stem_vocabulary(toks), "token")
+    @staticmethod
+    def common_part(token: str) -> str:
+        """What every word with this stem contains: the rules change a stem's last two letters at most."""
+        return token[:-2]
+
+
+english_analyzer = EnglishAnalyzer()
 
 
 def stemmed_match(docs: DataFrame, id_col: str, text_col: str, word: str,
                   stop_words: list[str] | None = None) -> DataFrame:
-    """Ids of documents with a token whose stem equals the stem of ``word``.
-
-    Only the surface forms with that stem are kept from the vocabulary before
-    the join, so the join's build side is the handful of forms, not the
-    vocabulary.
-    """
-    stops = english_stop_words() if stop_words is None else stop_words
-    target = porter_stem(word.lower())
-    toks = docs.select(F.col(id_col), F.explode(F.array_distinct(text_tokens(text_col))).alias("token"))
-    toks = toks.where(~F.col("token").isin(stops))
-    forms = stem_vocabulary(toks).where(F.col("stem") == F.lit(target)).select("token")
-    return toks.join(forms, "token", "left_semi").select(id_col).distinct()
+    """Ids of documents with a token whose stem is among the stems of ``word``."""
+    return docs.where(match(text_col, word, EnglishAnalyzer(stop_words))).select(id_col).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.project import bucket_line
-from quarry.operators.aggs import (cardinality, count_rows, date_histogram, stats_metric,
+from quarry.operators.aggs import (cardinality, count_rows, date_histogram, nested_buckets, stats_metric,
                                    terms_agg, top_terms_histogram)
 from quarry.functions.predicates import term
 from quarry.plans.common import load
@@ -49,6 +49,28 @@ def terms_by_month(spark, d):
     return top_terms_histogram(orders, "o_orderpriority", "o_orderdate")
 
 
+def _shipped(spark, d):
+    """Orders with the date only of those that are not pending: a column with nulls."""
+    return load(spark, d, "orders").withColumn("done", F.when(~term("o_orderstatus", "P"), F.col("o_orderdate")))
+
+
+def terms_by_month_undated(spark, d):
+    """More keys than buckets, and rows without a date that count in the ranking."""
+    return top_terms_histogram(_shipped(spark, d), "o_custkey", "done")
+
+
+def nested_bucket_metrics(spark, d):
+    out = nested_buckets(_shipped(spark, d), "o_custkey", "done", [F.sum("o_totalprice").alias("total")])
+    return out.withColumn("total", F.round("total", 2))
+
+
+def cardinality_error(spark, d):
+    """The approximate count stays within three standard errors of the exact one."""
+    li = load(spark, d, "lineitem")
+    both = li.agg(cardinality("l_partkey", "approx"), cardinality("l_partkey", "parts", exact=True))
+    return both.select("parts", (F.abs(F.col("approx") - F.col("parts")) <= 3 * 0.05 * F.col("parts")).alias("close"))
+
+
 def table_count(spark, d):
     return count_rows(load(spark, d, "orders"))
 
@@ -72,6 +94,9 @@ QUERIES = {
     "month_histogram": month_histogram,
     "customer_month_histogram": customer_month_histogram,
     "terms_by_month": terms_by_month,
+    "terms_by_month_undated": terms_by_month_undated,
+    "nested_bucket_metrics": nested_bucket_metrics,
+    "cardinality_error": cardinality_error,
     "table_count": table_count,
     "query_count": query_count,
     "bucket_lines": bucket_lines,
@@ -84,7 +109,20 @@ _HIST = """
     g AS (SELECT {by}unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS bucket FROM r)
     SELECT g.*, coalesce(c.doc_count, 0) AS doc_count FROM g LEFT JOIN c USING ({keys}bucket)"""
 
+_TOP = "SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 10"
+_UNDATED = _HIST.format(
+    by="o_custkey, ", keys="o_custkey, ",
+    src=f"""(SELECT o_custkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS o_orderdate
+             FROM orders WHERE o_custkey IN ({_TOP}))""")
+
 ORACLE = {
+    "terms_by_month_undated": _UNDATED,
+    "nested_bucket_metrics": f"""
+        WITH h AS ({_UNDATED}),
+        o AS (SELECT o_custkey, count(*) AS outer_doc_count, round(sum(o_totalprice), 2) AS total
+              FROM orders WHERE o_custkey IN ({_TOP}) GROUP BY 1)
+        SELECT o_custkey, outer_doc_count, total, bucket, doc_count FROM o LEFT JOIN h USING (o_custkey)""",
+    "cardinality_error": "SELECT count(DISTINCT l_partkey) AS parts, true AS close FROM lineitem",
     "top_terms_stats": """
         SELECT o_custkey, count(*) AS doc_count, count(o_totalprice) AS price_count,
                min(o_totalprice) AS price_min, max(o_totalprice) AS price_max,

@@ -8,11 +8,13 @@ from quarry.functions.analysis import (file_name_analyzer, path_tokens, text_tok
                                        token_rows, url_path)
 from quarry.functions.predicates import (any_field, at_least, bool_query, child_matches,
                                          field, match, not_, range_, term, terms)
-from quarry.functions.project import first_line, hit_line, record, subject
+from quarry.functions.project import (first_line, first_present, format_day, from_epoch_seconds, hit_line,
+                                      keys_of, parse_date, pluck, record, subject)
 from quarry.operators.aggs import terms_agg
 from quarry.functions.analysis import analyze_literal
 from quarry.operators.postings import bm25_postings, doc_lengths, match_postings, postings
-from quarry.operators.search import page, search
+from quarry.operators.search import Clause, page, ranked_page, search
+from quarry.operators.stemming import english_analyzer
 from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens
 
 SEARCH_WORD = "heti"
@@ -20,12 +22,49 @@ TOK = sql_tokens("text")
 
 
 def match_not_term(spark, d):
-    """Flagship: documents saying the word, not from one source; first page."""
+    """Flagship: the best documents saying the word that are not from one source."""
     docs = load(spark, d, "documents")
-    hits = docs.where(bool_query(must=[match("text", SEARCH_WORD)],
-                                 must_not=[term("source", "src2")]))
-    out = hits.select("doc_id", "source", first_line("text").alias("subject"))
-    return page(out, 10, id_col="doc_id")
+    best = ranked_page(docs, [Clause("text", SEARCH_WORD)], "doc_id", must_not=[term("source", "src2")],
+                       select=["source", first_line("text").alias("subject")], digits=6)
+    return best.select("doc_id", "source", "subject")
+
+
+def filtered_top10(spark, d):
+    """Two words, one of them given twice, within one source that takes no part in scoring."""
+    docs = load(spark, d, "documents")
+    return ranked_page(docs, [Clause("text", "heti heti worthless")], "doc_id", filter=[term("source", "src1")], digits=6)
+
+
+def multi_field_top10(spark, d):
+    """A required clause on one field and an optional one on another."""
+    part = load(spark, d, "part")
+    return ranked_page(part, [Clause("p_name", "ring blue"), Clause("p_type", "economy", required=False)], "p_partkey", digits=6)
+
+
+def stemmed_bool_page(spark, d):
+    """First page of the documents with a form of the word, not from one source."""
+    docs = load(spark, d, "documents").where(term("lang", "en"))
+    hits = docs.where(bool_query(must=[match("text", "ating", english_analyzer)], must_not=[term("source", "src2")]))
+    return page(hits.select("doc_id", "source"), 10, id_col="doc_id")
+
+
+def any_field_nested(spark, d):
+    """Any-field search over an array of structs and an array of strings."""
+    part = load(spark, d, "part").select("p_partkey", F.array(record(name="p_name"), record(name="p_brand")).alias("items"),
+                                         F.array("p_type").alias("tags"))
+    return part.where(any_field(part, "ring economy")).select("p_partkey")
+
+
+def projected_fields(spark, d):
+    """Dates from text and from epoch seconds, a member of an array of structs, the keys of a map."""
+    orders = load(spark, d, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    pair = F.array(record(v="o_orderstatus"), record(v="o_orderpriority"))
+    return orders.select(
+        "o_orderkey", format_day(parse_date(day)).alias("parsed"),
+        format_day(from_epoch_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")))).alias("from_epoch"),
+        F.array_join(pluck(pair, "v"), ",").alias("plucked"),
+        F.array_join(keys_of(F.create_map("o_orderpriority", F.lit(1))), ",").alias("keys"))
 
 
 def scan_all_matches(spark, d):
@@ -78,7 +117,7 @@ def any_field_text(spark, d):
 def sql_field_limit(spark, d):
     load(spark, d, "nation").createOrReplaceTempView("nation")
     return spark.sql("SELECT n_name, n_nationkey FROM nation WHERE n_regionkey = 1 "
-                     "ORDER BY n_nationkey LIMIT 5")
+                     "ORDER BY n_nationkey LIMIT 3")
 
 
 def struct_field_eq(spark, d):
@@ -160,7 +199,8 @@ def point_lookup(spark, d):
 
 def hit_lines(spark, d):
     orders = load(spark, d, "orders")
-    created = F.coalesce(F.lit(None).cast("timestamp_ntz"), F.col("o_orderdate"))
+    done = F.when(term("o_orderstatus", "F"), F.col("o_orderdate") + F.expr("INTERVAL 30 DAY"))
+    created = first_present(done, "o_orderdate")
     return orders.select("o_orderkey", hit_line(F.lit("orders"), F.lit("_doc"),
                                                 F.col("o_orderkey").cast("string"), created,
                                                 "o_orderpriority").alias("line"))
@@ -172,6 +212,11 @@ def subject_column(spark, d):
 
 
 QUERIES = {
+    "filtered_top10": filtered_top10,
+    "multi_field_top10": multi_field_top10,
+    "stemmed_bool_page": stemmed_bool_page,
+    "any_field_nested": any_field_nested,
+    "projected_fields": projected_fields,
     "match_not_term": match_not_term,
     "scan_all_matches": scan_all_matches,
     "keyword_and_text_forms": keyword_and_text_forms,
@@ -202,11 +247,56 @@ _HP = f"regexp_extract(url, '{URL_HOST_PATH}', 1)"
 _PO = f"regexp_extract(url, '{URL_PATH_ONLY}', 1)"
 _NOT_SRC2 = "NOT coalesce(source = 'src2', false)"
 
+
+
+def _bm25_sql(words: list[str], columns: str, test: str) -> str:
+    """BM25 of ``documents.text`` for a list of words, as SQL."""
+    df = ", ".join(f"count_if(list_contains(tok, '{w}')) AS df{i}" for i, w in enumerate(words))
+    tf = ", ".join(f"len(list_filter(tok, lambda x: x = '{w}')) AS tf{i}" for i, w in enumerate(words))
+    score = " + ".join(f"ln(1 + (s.n - s.df{i} + 0.5) / (s.df{i} + 0.5)) * tf{i} / (tf{i} + 1.2 * (0.25 + 0.75 * dl / s.avgdl))"
+                       for i in range(len(words)))
+    return f"""
+        WITH t AS (SELECT *, {TOK} AS tok FROM documents),
+        s AS (SELECT count(tok) AS n, avg(len(tok)) AS avgdl, {df} FROM t),
+        d AS (SELECT *, {tf}, len(tok) AS dl FROM t)
+        SELECT {columns}, round({score}, 6) AS _score FROM d, s
+        WHERE list_has_any(tok, {words!r}) AND {test} ORDER BY _score DESC, doc_id LIMIT 10"""
+
+
+# The English words (stop words aside) whose stem is "at".
+_AT_FORMS = "['ats', 'ate', 'ates', 'ated', 'ating', 'atings', 'atful', 'atness']"
+_P_NAME, _P_TYPE = sql_tokens("p_name"), sql_tokens("p_type")
+
+
+def _part_idf(n: str, df: str) -> str:
+    return f"ln(1 + ({n} - {df} + 0.5) / ({df} + 0.5))"
+
+
 ORACLE: dict = {
-    "match_not_term": f"""
-        SELECT doc_id, source, string_split(text, chr(10))[1] AS subject FROM documents
-        WHERE list_contains({TOK}, '{SEARCH_WORD}') AND {_NOT_SRC2}
+    "match_not_term": "SELECT doc_id, source, subject FROM (" + _bm25_sql(
+        [SEARCH_WORD], "doc_id, source, string_split(text, chr(10))[1] AS subject", _NOT_SRC2) + ")",
+    "filtered_top10": _bm25_sql(["heti", "heti", "worthless"], "doc_id", "source = 'src1'"),
+    "multi_field_top10": f"""
+        WITH t AS (SELECT p_partkey, {_P_NAME} AS a, {_P_TYPE} AS b FROM part),
+        s AS (SELECT count(a) AS na, avg(len(a)) AS la, count(b) AS nb, avg(len(b)) AS lb,
+                     count_if(list_contains(a, 'ring')) AS d0, count_if(list_contains(a, 'blue')) AS d1,
+                     count_if(list_contains(b, 'economy')) AS d2 FROM t),
+        f AS (SELECT *, len(list_filter(a, lambda x: x = 'ring')) AS f0, len(list_filter(a, lambda x: x = 'blue')) AS f1,
+                     coalesce(len(list_filter(b, lambda x: x = 'economy')), 0) AS f2 FROM t)
+        SELECT p_partkey, round({_part_idf('na', 'd0')} * f0 / (f0 + 1.2 * (0.25 + 0.75 * len(a) / la))
+             + {_part_idf('na', 'd1')} * f1 / (f1 + 1.2 * (0.25 + 0.75 * len(a) / la))
+             + coalesce({_part_idf('nb', 'd2')} * f2 / (f2 + 1.2 * (0.25 + 0.75 * len(b) / lb)), 0), 6) AS _score
+        FROM f, s WHERE list_has_any(a, ['ring', 'blue']) ORDER BY _score DESC, p_partkey LIMIT 10""",
+    "stemmed_bool_page": f"""
+        SELECT doc_id, source FROM documents WHERE lang = 'en' AND list_has_any({TOK}, {_AT_FORMS}) AND {_NOT_SRC2}
         ORDER BY doc_id LIMIT 10""",
+    "stemmed_match": f"SELECT doc_id FROM documents WHERE lang = 'en' AND list_has_any({TOK}, {_AT_FORMS})",
+    "any_field_nested": f"""
+        SELECT p_partkey FROM part
+        WHERE list_has_any({sql_tokens("concat_ws(' ', p_name, p_brand, p_type)")}, ['ring', 'economy'])""",
+    "projected_fields": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS parsed, strftime(o_orderdate, '%Y-%m-%d') AS from_epoch,
+               concat_ws(',', o_orderstatus, o_orderpriority) AS plucked, o_orderpriority AS keys FROM orders""",
     "scan_all_matches": f"""
         SELECT * FROM documents WHERE list_contains({TOK}, '{SEARCH_WORD}') AND {_NOT_SRC2}""",
     "keyword_and_text_forms": f"""
@@ -233,7 +323,7 @@ ORACLE: dict = {
         WHERE list_contains({sql_tokens("concat_ws(' ', p_name, p_brand, p_type)")}, 'ring')""",
     "sql_field_limit": """
         SELECT n_name, n_nationkey FROM nation WHERE n_regionkey = 1
-        ORDER BY n_nationkey LIMIT 5""",
+        ORDER BY n_nationkey LIMIT 3""",
     "struct_field_eq": """
         SELECT c_custkey, c_name AS name FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""",
     "nested_exists": f"""
@@ -275,7 +365,7 @@ ORACLE: dict = {
         SELECT * FROM documents WHERE list_contains({TOK}, '{SEARCH_WORD}') AND {_NOT_SRC2}""",
     "hit_lines": """
         SELECT o_orderkey, format('/{}/{}/{} ({}): {}', 'orders', '_doc', CAST(o_orderkey AS VARCHAR),
-               strftime(coalesce(NULL, o_orderdate), '%Y-%m-%d'),
+               strftime(coalesce(CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END, o_orderdate), '%Y-%m-%d'),
                string_split(o_orderpriority, chr(10))[1]) AS line FROM orders""",
     "subject_column": """
         SELECT doc_id, left(string_split(text, chr(10))[1], 80) AS subject FROM documents""",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.analysis import analyze_array, file_path_analyzer, text_tokens
+from quarry.operators.stemming import english_analyzer
 from quarry.functions.project import from_epoch_seconds, keys_of, pluck, record, subject
 
 PERSON = T.StructType([T.StructField("name", T.StringType()), T.StructField("email", T.StringType())])
@@ -82,7 +83,7 @@ def read_commits(spark: SparkSession, path: str, repository: str) -> DataFrame:
 def with_analysed_fields(commits: DataFrame) -> DataFrame:
     """Token forms of the analysed commit columns."""
     return (commits
-            .withColumn("description_tokens", text_tokens("description"))
+            .withColumn("description_tokens", english_analyzer("description"))
             .withColumn("files_tokens", analyze_array("files", file_path_analyzer, distinct=True))
             .withColumn("author_name_tokens", text_tokens("author.name"))
             .withColumn("committer_name_tokens", text_tokens("committer.name")))

@@ -16,7 +16,7 @@ def test_entry_schema_stable(spark):
 def test_every_query_has_oracle_or_is_listed(spark):
     from __spark_entry__ import oracle_sql, queries
     missing = {q for q in set(queries()) - set(oracle_sql()) if not _optional(q)}
-    assert missing == {"cardinality_approx", "stemmed_match"}
+    assert missing == {"cardinality_approx"}
     assert set(oracle_sql()) <= set(queries())
 
 
