@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import table
-from quarry.llm.shingles import WORDS, linked, shingle_sets
+from quarry.llm.common import stored, table
+from quarry.llm.ngram_join import _as_pairs, _check, _edges, _node, connected_components
+from quarry.llm.shingles import SIMILARITY_PERCENT, mix64, shingle_sets
 
 PERMUTATIONS = 64
 SEED = 20240607
@@ -28,14 +31,11 @@ def permutations(count: int = PERMUTATIONS, seed: int = SEED) -> tuple[np.ndarra
     return a, b
 
 
-def signatures(texts: list, count: int = PERMUTATIONS, seed: int = SEED) -> np.ndarray:
-    """MinHash signatures (texts x count, uint32) of the texts' word shingles.
-
-    A text without words has no minima; its signature is all ones.
-    """
+def minima(sets: list[np.ndarray], count: int = PERMUTATIONS, seed: int = SEED) -> np.ndarray:
+    """MinHash signatures (sets x count, uint32) of shingle sets; an empty set's is all ones."""
     a, b = permutations(count, seed)
-    out = np.full((len(texts), count), 0xFFFFFFFF, np.uint32)
-    for i, s in enumerate(shingle_sets(texts)):
+    out = np.full((len(sets), count), 0xFFFFFFFF, np.uint32)
+    for i, s in enumerate(sets):
         for lo in range(0, len(s), 8192):
             with np.errstate(over="ignore"):
                 h = (s[lo: lo + 8192, None] * a + b) >> np.uint64(32)
@@ -43,6 +43,21 @@ def signatures(texts: list, count: int = PERMUTATIONS, seed: int = SEED) -> np.n
     return out
 
 
+def signatures(texts: list, count: int = PERMUTATIONS, seed: int = SEED) -> np.ndarray:
+    """The signatures of the texts' sets of word shingles."""
+    return minima(shingle_sets(texts), count, seed)
+
+
+def band_values(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """One 64-bit hash per band of consecutive minima (rows x bands, int64)."""
+    rows, count = signature.shape
+    width = count // bands
+    out = np.zeros((rows, bands), np.uint64)
+    for x in np.moveaxis(signature[:, : bands * width].reshape(rows, bands, width).astype(np.uint64), 2, 0):
+        out = mix64(out + x + np.uint64(1))
+    return out.view(np.int64)
+
+
 def as_text(signature: np.ndarray) -> str:
     """The low 16 bits of each minimum, as hexadecimal digits (4 for each permutation)."""
     return (signature & np.uint32(0xFFFF)).astype(">u2").tobytes().hex()
@@ -102,46 +117,79 @@ def _prints(batches):
             "near_next": [likeness(sig[at[t]], sig[at[u]]) for t, u in zip(own, following)]})
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``signature`` (array of 64 longs) of every whole text."""
-    kind = docs.schema[key].dataType.simpleString()
-
+def _banded(bands: int):
+    """Per document its set's size and digest and the hashes of its signature's bands."""
     def run(batches):
         for pdf in batches:
-            sig = signatures([t if isinstance(t, str) else "" for t in pdf["t"]])
-            yield pd.DataFrame({"k": pdf["k"], "signature": list(sig.astype(np.int64))})
-
-    return (docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, signature array<long>")
-            .withColumnRenamed("k", key))
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = BANDS) -> DataFrame:
-    """Verified pairs (``key``, ``near``): signature bands joined in Spark, Jaccard verified.
-
-    Of the rows that share a band, each is paired with the band's least key, so a band that
-    very many rows share gives one candidate per row and not one per pair; a candidate is a
-    pair when the 5-word shingle sets have a similarity of 0.75 or more. Texts without words
-    are paired with nothing. Banding finds a pair with the probability stated at ``BANDS``.
+            values = [t if isinstance(t, str) else "" for t in pdf["text"]]
+            for lo in range(0, len(values), 512):
+                sets = shingle_sets(values[lo: lo + 512])
+                part = pdf.iloc[lo: lo + 512]
+                yield pd.DataFrame({
+                    "id": part["id"].to_numpy(), "row": part["row"].to_numpy(), "n": [len(s) for s in sets],
+                    "cls": [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets],
+                    "bands": list(band_values(minima(sets), bands))})
+    return run
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
+                    bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
+    """Near-duplicate groups: signature bands joined in Spark, Jaccard verified on whole sets.
+
+    Returns (documents, links): per row ``key`` and ``component_id`` (the least key reachable
+    by links), and the verified links between classes. A class is the documents with one
+    shingle set, so copies meet once. Classes that share a band are candidates:
+
+    1. each class of a band is checked against the band's least class, one candidate per
+       member however many there are;
+    2. members of a band that round 1 left in different components are checked against each
+       other, except that the band's largest component is not compared with itself.
+
+    So every candidate pair that could still join two components is checked, and no band
+    gives all its pairs. Links need a similarity of 0.75 or more; banding offers a pair with
+    the probability stated at ``BANDS``.
+
+    Defined cases: null, empty and blank texts are linked with nothing (their component is
+    their own key); null keys take part and get a null component unless linked with a keyed
+    row; repeated rows share a class; an empty table gives no rows; extra columns are not
+    carried.
     """
-    width = PERMUTATIONS // bands
-    sig = fingerprints(docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()), key, text)
-    banded = sig.where(F.exists("signature", lambda x: x < 0xFFFFFFFF)).select(
-        F.col(key).alias("k"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(
-            F.slice("signature", i * width + 1, F.lit(width))))).alias("band", "value"))
-    least = banded.groupBy("band", "value").agg(F.min("k").alias("near"), F.max("k").alias("most")).where("near < most")
-    pairs = banded.join(least, ["band", "value"]).where("k <> near").select("k", "near").distinct()
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).where("t is not null")
-    both = (pairs.join(texts.withColumnsRenamed({"id": "k", "t": "a"}), "k")
-            .join(texts.withColumnsRenamed({"id": "near", "t": "b"}), "near").select("k", "near", "a", "b"))
-
-    def verify(batches):
-        for pdf in batches:
-            x, y = shingle_sets(pdf["a"].tolist(), WORDS), shingle_sets(pdf["b"].tolist(), WORDS)
-            ok = [bool(linked(len(np.intersect1d(s, t, assume_unique=True)), len(s), len(t))) for s, t in zip(x, y)]
-            yield pdf.loc[ok, ["k", "near"]]
-
+    base = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    return both.mapInPandas(verify, f"k {kind}, near {kind}").distinct().withColumnRenamed("k", key)
+    rows = stored(spark, base.mapInPandas(_banded(bands), f"id {kind}, row long, n long, cls long, bands array<long>"), "minhash-bands")
+    reps = rows.where("n > 0").groupBy("cls", "n").agg(F.min("row").alias("row"), F.min("bands").alias("bands"))
+    members = reps.withColumn("n", F.col("n").cast("int")).select(_node("cls", "n").alias("node"), F.posexplode("bands").alias("band", "value"))
+    shared = members.groupBy("band", "value").agg(F.min("node").alias("centre"), F.count("*").alias("size")).where("size > 1")
+    members = stored(spark, members.join(shared.drop("size"), ["band", "value"]), "band-members")
+
+    def sized(x: str, y: str) -> str:
+        return f"100 * least({x}.n, {y}.n) >= {SIMILARITY_PERCENT} * greatest({x}.n, {y}.n)"
+
+    stars = members.where("node <> centre").where(sized("node", "centre"))
+    reps = reps.drop("bands")
+    checked = stored(spark, _as_pairs(stars, F.col("node"), F.col("centre")), "candidates")
+    links = stored(spark, _check(spark, checked, reps, base), "links")
+
+    # round 2: bands with classes of several components
+    placed = (members.drop("centre").join(connected_components(spark, _edges(links)), "node", "left")
+              .withColumn("component", F.coalesce("component", "node")))
+    sizes = placed.groupBy("band", "value", "component").agg(F.count("*").alias("size"))
+    mains = (sizes.groupBy("band", "value").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
+             .where("parts > 1").select("band", "value", F.col("top.component").alias("main")))
+    mixed = stored(spark, placed.join(mains, ["band", "value"]).withColumn("in_main", F.col("component") == F.col("main")).drop("main"), "mixed-bands")
+    x = mixed.where("not in_main").select("band", "value", F.col("node").alias("x"), F.col("component").alias("x_component"))
+    y = mixed.select("band", "value", F.col("node").alias("y"), F.col("component").alias("y_component"), "in_main")
+    near = (x.join(y, ["band", "value"]).where("x_component <> y_component and (in_main or x < y)").where(sized("x", "y")))
+    rest = stored(spark, _as_pairs(near, F.col("x"), F.col("y")).join(checked, checked.columns, "left_anti"), "candidates")
+    links = stored(spark, links.union(_check(spark, rest, reps, base)), "links")
+
+    keyed = rows.select("id", "n", F.struct("cls", F.col("n").cast("int").alias("n")).alias("node"))
+    grouped = (keyed.where("n > 0").groupBy("node").agg(F.min("id").alias("least_id"))
+               .join(connected_components(spark, _edges(links)), "node", "left").withColumn("component", F.coalesce("component", "node")))
+    least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    out = (keyed.join(grouped.join(least, "component").select("node", "component_id"), "node", "left")
+           .select(F.col("id").alias(key), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+    return out, links
 
 
 def op6_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
