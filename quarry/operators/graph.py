@@ -62,23 +62,30 @@ def reachable(edges: DataFrame, roots: DataFrame, child: str = "child", parent:
 
 
 def previous_in_group(df: DataFrame, group: str, order: str, out: str = "previous",
-                      block: int = 1 << 16) -> DataFrame:
+                      block: int = 1 << 16, cuts: int = 1024) -> DataFrame:
     """The ``order`` value of the preceding row of the same ``group`` (a ``lag``).
 
-    A plain ``lag`` over ``partitionBy(group)`` puts a whole group in one task;
-    here rows are windowed per ``(group, order div block)``, which holds at most
-    ``block`` consecutive order values, and the first row of each block takes
-    the maximum of the nearest earlier block of its group. That second window
-    runs over one row per block, so even a group holding a third of the data
-    is a small partition. ``order`` must be an integral column.
+    A plain ``lag`` over ``partitionBy(group)`` puts a whole group in one task.
+    Groups of more than ``block`` rows are cut at ``cuts`` approximate quantiles of their
+    order values, so blocks hold about equally many rows however the values are
+    spread (dense ids, timestamps, hashes). Rows are windowed inside a block; its
+    first row takes the maximum of the nearest earlier block of the group, by a
+    second window over one row per block. Smaller groups are one block. ``order``
+    must be a number, distinct within a group; equal values share a block.
     """
-    blk = F.floor(F.col(order) / F.lit(block)).cast("bigint")
-    d = df.withColumn("_blk", blk)
+    at = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+    hot = (df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+           .select(F.col(group).alias("_g")))
+    sampled = (df.join(hot, F.col(group).eqNullSafe(F.col("_g")), "left_semi")
+               .groupBy(F.col(group).alias("_g")).agg(F.percentile_approx(order, at, F.lit(4 * cuts)).alias("_cuts")))
+    d = df.join(sampled, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
+    below = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
+    d = d.withColumn("_blk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below)).drop("_cuts")
     inner = Window.partitionBy(group, "_blk").orderBy(order)
     d = d.withColumn("_lag", F.lag(order).over(inner))
     blocks = d.groupBy(group, "_blk").agg(F.max(order).alias("_bmax"))
     prev_block = Window.partitionBy(group).orderBy("_blk")
-    blocks = blocks.withColumn("_prev_bmax", F.lag("_bmax").over(prev_block)).drop("_bmax")
+    blocks = blocks.withColumn("_prev_bmax", F.lag("_bmax").over(prev_block)).where("_prev_bmax is not null")
     blocks = blocks.select(F.col(group).alias("_g"), F.col("_blk").alias("_b"), "_prev_bmax")
     cond = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_blk") == F.col("_b"))
     d = d.join(blocks, cond, "left")

@@ -164,7 +164,8 @@ def with_generated_id(df: DataFrame, content_key: bool = False, name: str = "_id
 
     ``uuid()`` gives a fresh key per row (a rerun appends again); with
     ``content_key=True`` the key is a SHA-256 of the row, so loading the same
-    rows twice yields the same keys and a keyed write stays idempotent.
+    rows twice yields the same keys and a keyed write stays idempotent; equal rows of
+    one load share a key, so a keyed write keeps one of them.
     """
     if content_key:
         return df.withColumn(name, F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256))
@@ -234,6 +235,17 @@ def quarantined(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.size("_errors") > 0)
 
 
+def outcomes(tagged: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per-record outcome (K7): the tagged rows with ``status`` and, for a rejected one,
+    ``reason``: each failed column, its text and the declared type it cannot be read as."""
+    reasons = F.array(*[F.when(F.array_contains("_errors", f.name), F.concat(
+        F.lit(f"{f.name}: "), F.coalesce(F.get_json_object("_raw", f"$['{f.name}']"), F.lit("null")), F.lit(f" is not {f.dataType.simpleString()}")))
+        for f in schema.fields])
+    bad = F.size("_errors") > 0
+    return (tagged.withColumn("status", F.when(bad, F.lit("rejected")).otherwise(F.lit("accepted")))
+            .withColumn("reason", F.when(bad, F.array_join(reasons, "; "))))
+
+
 def load_summary(tagged: DataFrame) -> DataFrame:
     """Accepted and failed counts (K8) in one pass."""
     return tagged.agg(F.count_if(F.size("_errors") == 0).alias("accepted"),

@@ -25,16 +25,16 @@ def postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = t
     return out.withColumn("field", F.lit(field_name or text_col))
 
 
-def write_postings(post: DataFrame, path: str, partitions: int, salt_buckets: int = 16,
+def write_postings(post: DataFrame, path: str, partitions: int, salt_buckets: int | None = None,
                    id_col: str = "doc_id") -> None:
     """Write a postings table clustered by token.
 
     Rows are hash-partitioned on ``(token, salt)`` where the salt comes from the
     document id, so one very common token is written by up to
-    ``salt_buckets`` tasks instead of one; inside a file rows are sorted by
+    ``salt_buckets`` tasks (all ``partitions``, if not given) instead of one; inside a file rows are sorted by
     token, which lets Parquet min/max statistics skip row groups on a lookup.
     """
-    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt_buckets))
+    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt_buckets or partitions))
     (post.repartition(partitions, F.col("token"), salt)
          .sortWithinPartitions("token", id_col)
          .write.mode("overwrite").parquet(path))

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.operators.postings import doc_lengths, postings, write_postings
+from quarry.session import scratch_dir
+
 # Oracle SQL fragment: the default text analyzer written for DuckDB.
 def sql_tokens(expr: str) -> str:
     return (f"list_filter(regexp_split_to_array(lower({expr}), '[^\\p{{L}}\\p{{N}}]+'), "
@@ -30,3 +35,25 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_on: str | None = No
         from quarry.sources.tables import spread
         df = spread(df, [spread_on])
     return df
+
+
+_text_indexes: dict[tuple[str, str], str] = {}
+
+
+def text_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored postings and length tables of ``documents.text``.
+
+    Written once per application and table folder, below the shared checkpoint folder;
+    later queries read the files with the token filter pushed down. The tables are taken
+    to be immutable while the application runs.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if known not in _text_indexes:
+        path = scratch_dir(spark, f"text-index-{uuid.uuid4().hex}")
+        docs = load(spark, sf_dir, "documents", spread_on="doc_id")
+        write_postings(postings(docs, "doc_id", "text"), f"{path}/postings",
+                       int(spark.conf.get("spark.sql.shuffle.partitions")))
+        doc_lengths(docs, "doc_id", "text").write.parquet(f"{path}/lengths")
+        _text_indexes[known] = path
+    path = _text_indexes[known]
+    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.graph import previous_in_group, reachable
-from quarry.operators.ingest import (ChangeLogTable, latest_per_key, load_summary,
-                                     partial_update, quarantined, typed_load)
+from quarry.operators.ingest import (ChangeLogTable, latest_per_key, load_summary, outcomes,
+                                     partial_update, quarantined, typed_load, upsert)
 from quarry.operators.stemming import stemmed_match
 from quarry.plans.common import load
 from quarry.session import scratch_dir
@@ -26,6 +26,13 @@ def upsert_latest(spark, d):
     return latest_per_key(ev, "user_id", EVENT_ORDER)
 
 
+def upsert_base_changes(spark, d):
+    """A base table and changes, many of them older than the row they meet."""
+    ev = load(spark, d, "events")
+    late = F.col("event_id") % 3 == 0
+    return upsert(latest_per_key(ev.where(~late), "user_id", EVENT_ORDER), ev.where(late), "user_id", EVENT_ORDER)
+
+
 def _customer_updates(spark, d):
     orders = load(spark, d, "orders")
     urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").groupBy("o_custkey") \
@@ -48,8 +55,11 @@ def partial_update_q(spark, d):
 
 
 def partial_update_errors(spark, d):
+    """Updates of every seventh customer go to a key that no row has."""
     cust = load(spark, d, "customer")
-    _table, errors = partial_update(cust, _customer_updates(spark, d), "c_custkey", seq="seq")
+    updates = _customer_updates(spark, d).withColumn(
+        "c_custkey", F.when(F.col("c_custkey") % 7 == 0, -1 - F.col("c_custkey")).otherwise(F.col("c_custkey")))
+    _table, errors = partial_update(cust, updates, "c_custkey", seq="seq")
     return errors.select("c_custkey", "_error")
 
 
@@ -73,6 +83,11 @@ def typed_load_quarantine(spark, d):
                     "user_id", "value", F.array_join("_errors", ",").alias("errors"))
 
 
+def record_outcomes(spark, d):
+    tagged = typed_load(_events_as_text(spark, d), EVENT_TYPES)
+    return outcomes(tagged, EVENT_TYPES).select("ts", "user_id", "status", "reason")
+
+
 def typed_load_summary(spark, d):
     return load_summary(typed_load(_events_as_text(spark, d), EVENT_TYPES))
 
@@ -103,7 +118,7 @@ def order_dag(spark, d):
     """Commit-DAG stand-in: child -> child div 2, and child -> previous order of its customer."""
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
     halves = o.where(F.col("o_orderkey") > 0).select(
-        F.col("o_orderkey").alias("child"), F.floor(F.col("o_orderkey") / 2).cast("bigint").alias("parent"))
+        F.col("o_orderkey").alias("child"), F.expr("o_orderkey div 2").alias("parent"))
     prev = previous_in_group(o, "o_custkey", "o_orderkey", out="parent") \
         .where(F.col("parent").isNotNull()).select(F.col("o_orderkey").alias("child"), "parent")
     return halves.unionByName(prev)
@@ -119,9 +134,10 @@ def stream_upsert(spark, d):
     ev = load(spark, d, "events")
     base = scratch_dir(spark, f"stream-{uuid.uuid4().hex}")
     src = f"{base}/source"
-    ev.repartition(4, "event_id").write.mode("overwrite").parquet(src)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ev.repartition(files, "event_id").write.mode("overwrite").parquet(src)
     run_keyed_ingest(spark, src, ev.schema, f"{base}/table", f"{base}/_checkpoint",
-                     key="user_id", order=EVENT_ORDER, max_files_per_trigger=1, compact_every=2)
+                     key="user_id", order=EVENT_ORDER, max_files_per_trigger=max(1, files // 4), compact_every=2)
     return ChangeLogTable(spark, f"{base}/table", "user_id", EVENT_ORDER).current()
 
 
@@ -132,6 +148,8 @@ def stemmed_match_q(spark, d):
 
 QUERIES = {
     "upsert_latest": upsert_latest,
+    "upsert_base_changes": upsert_base_changes,
+    "record_outcomes": record_outcomes,
     "partial_update": partial_update_q,
     "partial_update_errors": partial_update_errors,
     "typed_load_quarantine": typed_load_quarantine,
@@ -158,14 +176,20 @@ _TEXT_EVENTS = """
                  CAST(user_id AS VARCHAR) AS user_id, CAST(value AS VARCHAR) AS value FROM events)"""
 
 ORACLE = {
+    "upsert_base_changes": _LATEST,
+    "record_outcomes": """
+        SELECT ts, user_id, CASE WHEN event_id % 97 = 0 THEN 'rejected' ELSE 'accepted' END AS status,
+               CASE WHEN event_id % 97 = 0 THEN 'event_id: bad is not bigint' END AS reason
+        FROM events""",
     "upsert_latest": _LATEST,
     "partial_update": f"""
         WITH {_UPDATES}
         SELECT c.*, u.urgent, p.pending_total FROM customer c
         LEFT JOIN u USING (c_custkey) LEFT JOIN p USING (c_custkey)""",
     "partial_update_errors": f"""
-        WITH {_UPDATES}, k AS (SELECT c_custkey FROM u UNION SELECT c_custkey FROM p)
-        SELECT c_custkey, 'document_missing' AS _error FROM k
+        WITH {_UPDATES}, k AS (SELECT c_custkey FROM u UNION SELECT c_custkey FROM p),
+        m AS (SELECT CASE WHEN c_custkey % 7 = 0 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey FROM k)
+        SELECT c_custkey, 'document_missing' AS _error FROM m
         WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""",
     "typed_load_quarantine": f"""
         WITH {_TEXT_EVENTS}

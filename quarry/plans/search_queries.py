@@ -12,10 +12,10 @@ from quarry.functions.project import (first_line, first_present, format_day, fro
                                       keys_of, parse_date, pluck, record, subject)
 from quarry.operators.aggs import terms_agg
 from quarry.functions.analysis import analyze_literal
-from quarry.operators.postings import bm25_postings, doc_lengths, match_postings, postings
+from quarry.operators.postings import bm25_postings, match_postings, postings
 from quarry.operators.search import Clause, page, ranked_page, search
 from quarry.operators.stemming import english_analyzer
-from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens
+from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_index
 
 SEARCH_WORD = "heti"
 TOK = sql_tokens("text")
@@ -175,19 +175,16 @@ def bm25_top10(spark, d):
 
 
 def match_postings_q(spark, d):
-    """The flagship's hits read through the postings table instead of the text."""
-    docs = load(spark, d, "documents", spread_on="doc_id")
-    post = postings(docs, "doc_id", "text")
+    """The flagship's hits read through the stored postings table instead of the text."""
+    docs = load(spark, d, "documents")
+    post, _ = text_index(spark, d)
     ids = match_postings(post, analyze_literal(spark, SEARCH_WORD))
     return docs.join(ids, "doc_id", "left_semi").where(not_(term("source", "src2")))
 
 
 def bm25_postings_top10(spark, d):
-    """``bm25_top10`` computed from the postings and document-length tables."""
-    docs = load(spark, d, "documents", spread_on="doc_id")
-    post = postings(docs, "doc_id", "text")
-    scores = bm25_postings(post, doc_lengths(docs, "doc_id", "text"),
-                           analyze_literal(spark, SEARCH_WORD))
+    """``bm25_top10`` computed from the stored postings and document-length tables."""
+    scores = bm25_postings(*text_index(spark, d), analyze_literal(spark, SEARCH_WORD))
     return page(scores.select("doc_id", F.round("_score", 6).alias("_score")), 10,
                 order=[F.col("_score").desc()], id_col="doc_id")
 

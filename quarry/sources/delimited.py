@@ -21,16 +21,27 @@ TYPE_NAMES = {
 TYPE_KINDS = {"STRING": "text", "CAT": "keyword", "INT": "integer", "DOUBLE": "double"}
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+# Column of the text of records whose number of fields is not the header's.
+MALFORMED = "quarry_malformed"
+
+
+def read_delimited(spark: SparkSession, path: str, sep: str = ";", keep_malformed: bool = False) -> DataFrame:
     """Delimited source (S3/S5): header names the columns, every value a string.
 
     No schema inference: that would scan the data twice and still give
     strings here. CRLF line ends are accepted; values may be quoted, with quotes doubled and
-    line breaks inside, so a file is one split.
+    line breaks inside, so a file is one split. With ``keep_malformed`` a record with
+    too few or too many fields has its whole text in column ``MALFORMED``.
     """
-    return (spark.read.option("sep", sep).option("header", True)
+    reader = (spark.read.option("sep", sep).option("header", True)
             .option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("inferSchema", False).csv(path))
+            .option("mode", "PERMISSIVE").option("inferSchema", False))
+    plain = reader.csv(path)
+    if not keep_malformed:
+        return plain
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*plain.columns, MALFORMED]])
+    return (reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+            .schema(schema).csv(path))
 
 
 def schema_from_types(columns: list[str], type_names: list[str]) -> T.StructType:
@@ -60,18 +71,23 @@ def load_typed_delimited(spark: SparkSession, path: str, sep: str = ";",
                          type_row: bool = True) -> TypedFrame | DataFrame:
     """Typed load of a delimited file with a type line (S4 + K7-K9).
 
+    Records with a wrong number of fields go to the quarantine whole, as ``field count``.
+
     ``type_row=False`` keeps the type line as a data row and every column a
     string (the behaviour of a plain bulk load of the reader).
     """
-    raw = read_delimited(spark, path, sep)
     if not type_row:
-        return raw
-    names = find_type_row(raw)
-    schema = schema_from_types(raw.columns, names)
+        return read_delimited(spark, path, sep)
+    raw = read_delimited(spark, path, sep, keep_malformed=True)
+    fields = raw.drop(MALFORMED)
+    names = find_type_row(fields)
+    schema = schema_from_types(fields.columns, names)
     is_type_row = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v))
-                                              for c, v in zip(raw.columns, names)])
-    data = raw.where(~is_type_row)
-    return TypedFrame(typed_load(data, schema))
+                                              for c, v in zip(fields.columns, names)])
+    tagged = typed_load(raw.where(~is_type_row), schema)
+    bad = F.col(MALFORMED).isNotNull()
+    return TypedFrame(tagged.withColumn("_errors", F.when(bad, F.array(F.lit("field count"))).otherwise(F.col("_errors")))
+                      .withColumn("_raw", F.coalesce(MALFORMED, "_raw")).drop(MALFORMED))
 
 
 def write_typed_delimited(df: DataFrame, path: str, type_names: dict[str, str],

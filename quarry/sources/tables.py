@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import fnmatch
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.ingest import grow_schema
@@ -44,13 +44,8 @@ def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None =
     input already has many splits and is returned unchanged, so this never
     adds a shuffle of a big table. Filters still run below the repartition.
     """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave the input as is
-        return df
-    if splits >= target:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *[F.col(k) for k in keys]) if keys else df.repartition(target)
 
@@ -64,8 +59,3 @@ def lookup(df: DataFrame, key_col: str, value) -> DataFrame:
 def export(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Every result row, no page limit (S10), written by the executors."""
     df.write.mode("overwrite").format(fmt).save(path)
-
-
-def iterate(df: DataFrame) -> Iterator[Row]:
-    """Every result row to a local consumer, one partition at a time."""
-    return df.toLocalIterator(prefetchPartitions=True)

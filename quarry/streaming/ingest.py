@@ -38,17 +38,22 @@ def keyed_batch_writer(table: ChangeLogTable, schema: T.StructType | None = None
 def run_keyed_ingest(spark: SparkSession, source_dir: str, source_schema: T.StructType,
                      table_path: str, checkpoint: str, key: Sequence[str] | str,
                      order: Sequence[str], fmt: str = "parquet",
-                     max_files_per_trigger: int = 1, schema: T.StructType | None = None,
+                     max_files_per_trigger: int | None = 1, max_bytes_per_trigger: str | None = None, schema: T.StructType | None = None,
                      quarantine_path: str | None = None, compact_every: int | None = None,
                      available_now: bool = True):
     """Start the stream (W1) and, with ``available_now``, run it to the end of the input.
 
-    Returns the streaming query; the table is ``ChangeLogTable(spark, table_path,
+    A micro-batch takes at most ``max_files_per_trigger`` files or, where given,
+    ``max_bytes_per_trigger`` (such as ``"10g"``) instead. Returns the streaming query; the table is ``ChangeLogTable(spark, table_path,
     key, order).current()``.
     """
     table = ChangeLogTable(spark, table_path, key, order)
-    stream = (spark.readStream.format(fmt).schema(source_schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
+    reader = spark.readStream.format(fmt).schema(source_schema)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    elif max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(source_dir)
     writer = (stream.writeStream
               .foreachBatch(keyed_batch_writer(table, schema, quarantine_path, compact_every))
               .option("checkpointLocation", checkpoint))

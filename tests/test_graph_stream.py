@@ -19,12 +19,21 @@ def test_reachable_diamond_each_node_once(spark):
 def test_previous_in_group_equals_lag(spark):
     rows = [(g, k) for g in (1, 2, None) for k in range(g or 0, 60, 3)] + [(3, 7)]
     df = spark.createDataFrame(rows, "g long, k long")
-    got = {(r.g, r.k): r.previous for r in previous_in_group(df, "g", "k", block=4).collect()}
+    got = {(r.g, r.k): r.previous for r in previous_in_group(df, "g", "k", block=4, cuts=3).collect()}
     w = Window.partitionBy("g").orderBy("k")
     want = {(r.g, r.k): r.p for r in df.withColumn("p", F.lag("k").over(w)).collect()}
     assert got == want
 
 
+def test_previous_in_group_cuts_sparse_orders_evenly(spark):
+    """Orders far apart (hash-like) still fall into blocks of many rows."""
+    df = spark.range(1, 400).selectExpr("1 as g", "id * id * 1000003 as k")
+    out = previous_in_group(df, "g", "k", block=50, cuts=8)
+    got = {r.k: r.previous for r in out.collect()}
+    keys = sorted(got)
+    assert got == dict(zip(keys, [None] + keys[:-1]))
+
+
 def test_stream_upsert_equals_batch(spark, tmp_dir):
     data = [(i, i % 5, i * 10) for i in range(40)]
     df = spark.createDataFrame(data, "event_id long, user_id long, ts long")

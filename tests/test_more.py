@@ -7,7 +7,7 @@ from quarry.functions.project import (bucket_line, first_present, format_day, hi
 from quarry.operators.ingest import append, create_table, with_generated_id
 from quarry.operators.search import search
 from quarry.sources.commits import COMMIT_V2, with_computed_columns
-from quarry.sources.tables import export, iterate, spread
+from quarry.sources.tables import export, spread
 
 
 def test_parse_date_formats_and_bad_input(spark):
@@ -57,11 +57,10 @@ def test_append_without_key_appends_again(spark, tmp_dir):
     assert spark.read.parquet(path).select("_id").distinct().count() == 4
 
 
-def test_export_iterate_spread(spark, tmp_dir):
+def test_export_spread(spark, tmp_dir):
     df = spark.range(25).withColumn("v", F.col("id") * 2)
     export(df, f"{tmp_dir}/out")
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 25
-    assert sum(1 for _ in iterate(df)) == 25
     one = spark.range(10).coalesce(1)
     assert spread(one, ["id"], min_partitions=4).rdd.getNumPartitions() == 4
     many = spark.range(0, 10, 1, 8)
@@ -112,6 +111,20 @@ def test_postings_written_clustered_and_read_with_pushdown(spark, tmp_dir):
     assert "In(token" in _plan(hits) or "EqualTo(token" in _plan(hits)
 
 
+def test_index_queries_read_the_stored_index(spark):
+    from __spark_entry__ import queries
+    from conftest import SF_SMALL
+    from quarry.plans import common
+    q = queries()
+    q["match_postings"](spark, SF_SMALL)
+    built = dict(common._text_indexes)
+    for name in ("match_postings", "bm25_postings_top10"):
+        p = _plan(q[name](spark, SF_SMALL))
+        assert "EqualTo(token,heti)" in p or "In(token, [heti])" in p, p
+        assert "split(" not in p
+    assert common._text_indexes == built
+
+
 def test_missing_pointer_is_none_but_other_errors_raise(spark, tmp_dir):
     from quarry.operators.ingest import read_pointer
     assert read_pointer(spark, f"{tmp_dir}/nothing-here") is None
@@ -147,6 +160,18 @@ def test_delimited_quotes_line_breaks_and_upper_case_data(spark, tmp_dir):
     assert sorted((r.Car, r.Origin) for r in rows) == [("FORD", "US"), ('say "hi"\nnow; yes', "FR")]
 
 
+def test_wrong_field_counts_reach_the_quarantine(spark, tmp_dir):
+    from quarry.sources.delimited import load_typed_delimited
+    with open(f"{tmp_dir}/a.csv", "w", newline="") as f:
+        f.write("A;B\nSTRING;INT\nx;1\nz;3;EXTRA\nshort\ny;bad\n")
+    loaded = load_typed_delimited(spark, f"{tmp_dir}/a.csv")
+    assert [(r.A, r.B) for r in loaded.rows.collect()] == [("x", 1)]
+    got = {r._raw: r._errors for r in loaded.quarantine.collect()}
+    assert got == {"z;3;EXTRA": ["field count"], "short": ["field count"], '{"A":"y","B":"bad"}': ["B"]}
+    summary = loaded.summary.first()
+    assert (summary.accepted, summary.failed) == (1, 3)
+
+
 def test_top_terms_rank_undated_rows_too(spark):
     from quarry.operators.aggs import top_terms_histogram
     df = spark.createDataFrame([("a", None)] * 5 + [("a", "2020-01-01"), ("b", "2020-01-01"), ("b", "2020-02-01")], "k string, d string")
