@@ -68,6 +68,11 @@ def record(**members: Column | str) -> Column:
     return F.struct(*[_c(v).alias(k) for k, v in members.items()])
 
 
+# The two output line formats.
+HIT_LINE = "/%s/%s/%s (%s): %s"
+BUCKET_LINE = "%15s: %3d commits changing %6d lines"
+
+
 def hit_meta(df: DataFrame, index: str, id_col: str) -> DataFrame:
     """Metadata columns of a hit (J2): ``_index``, ``_type`` and ``_id``."""
     return df.withColumn("_index", F.lit(index)).withColumn("_type", F.lit("_doc")) \
@@ -77,13 +82,13 @@ def hit_meta(df: DataFrame, index: str, id_col: str) -> DataFrame:
 def hit_line(index: Column | str, type_: Column | str, id_: Column | str,
              created: Column | str, description: Column | str) -> Column:
     """``/index/type/id (yyyy-MM-dd): first line``."""
-    return F.format_string("/%s/%s/%s (%s): %s", _c(index), _c(type_), _c(id_),
+    return F.format_string(HIT_LINE, _c(index), _c(type_), _c(id_),
                            format_day(created), first_line(description))
 
 
 def bucket_line(key: Column | str, doc_count: Column | str, total: Column | str) -> Column:
     """``%15s: %3d commits changing %6d lines``."""
-    return F.format_string("%15s: %3d commits changing %6d lines", _c(key),
+    return F.format_string(BUCKET_LINE, _c(key),
                            _c(doc_count), _c(total))
 
 

@@ -89,7 +89,7 @@ def fill_gaps(counts: DataFrame, by: Sequence[str] = (), unit: str = "month",
     """
     by = list(by)
     rest = [f for f in counts.schema.fields if f.name not in by and f.name != bucket]
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
+    step = F.expr("INTERVAL 3 MONTH" if unit == "quarter" else f"INTERVAL 1 {unit.upper()}")
     w = Window.partitionBy(*by).orderBy(bucket) if by else Window.orderBy(bucket)
     prev = F.col("_prev")
     lo, hi = prev + step, F.col(bucket) - step

@@ -7,6 +7,12 @@ from quarry.operators.aggs import (count_rows, date_histogram, stats_metric, ter
 from quarry.operators.search import bm25_score, hits_total, search
 
 
+def test_quarter_histogram_fills_gaps(spark):
+    df = spark.createDataFrame([("2020-01-05",), ("2020-11-05",)], "d string").withColumn("d", F.to_timestamp("d"))
+    got = [r.doc_count for r in date_histogram(df, "d", unit="quarter").orderBy("bucket").collect()]
+    assert got == [1, 0, 0, 1]
+
+
 def test_terms_agg_order_and_ties(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "k string")
     rows = [(r.k, r.doc_count) for r in terms_agg(df, "k", size=2).collect()]
