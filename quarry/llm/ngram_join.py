@@ -23,6 +23,11 @@ FILTER_BITS = 22
 COMPARED_AT_ONCE = 16
 #: An inverted list is split into cells of about this many documents.
 CELL_ROWS = 8192
+#: A component's classes are compared block by block: about so many classes, or so many shingles, each.
+BLOCK_CLASSES = 512
+BLOCK_SHINGLES = 1 << 20
+#: Lists (shingles) whose occurrences are counted at once.
+_LISTS_AT_ONCE = 8192
 
 
 def required_overlap(n_a, n_b):
@@ -244,13 +249,150 @@ def _node(cls: str, n: str):
     return F.struct(F.col(cls).alias("cls"), F.col(n).alias("n"))
 
 
+def occurrences(xs: list[np.ndarray], ys: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many lists hold each of ``xs`` together with each of ``ys`` (with each other if None).
+
+    Lists of one side only are left out; the others are merged as presence matrices.
+    """
+    def flat(sets):
+        return np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+    def present(at, rows, height, lo, hi):
+        i, j = np.searchsorted(at, [lo, hi])
+        out = np.zeros((height, hi - lo), np.float32)
+        out[rows[i:j], at[i:j] - lo] = 1
+        return out
+
+    sides = [flat(xs)] + ([flat(ys)] if ys is not None else [])
+    if ys is None:
+        values, times = np.unique(sides[0][0], return_counts=True)
+        shared = values[times > 1]
+    else:
+        shared = np.intersect1d(sides[0][0], sides[1][0])
+    placed = []
+    for values, rows in sides:
+        keep = np.isin(values, shared)
+        at, rows = np.searchsorted(shared, values[keep]), rows[keep]
+        order = np.argsort(at, kind="stable")
+        placed.append((at[order], rows[order]))
+    total = np.zeros((len(xs), len(xs if ys is None else ys)), np.int64)
+    for lo in range(0, len(shared), _LISTS_AT_ONCE):
+        hi = min(lo + _LISTS_AT_ONCE, len(shared))
+        x = present(*placed[0], len(xs), lo, hi)
+        y = x if ys is None else present(*placed[1], len(ys), lo, hi)
+        total += (x @ y.T).astype(np.int64)
+    return total
+
+
+def _linked_in_blocks(pdf: pd.DataFrame):
+    """(rows of block x, rows of block y, matrix of links) of one pair of blocks; a block with itself gives each pair once."""
+    sets = shingle_sets(pdf["text"].tolist())
+    n = np.array([len(s) for s in sets])
+    first = (pdf["block"] == pdf["x"]).to_numpy()
+    i, j = np.flatnonzero(first), np.flatnonzero(~first)
+    same = pdf["x"].iloc[0] == pdf["y"].iloc[0]
+    common = occurrences([sets[k] for k in i], None if same else [sets[k] for k in j])
+    j = i if same else j
+    ok = linked(common, n[i][:, None], n[j][None, :])
+    return i, j, np.triu(ok, 1) if same else ok
+
+
+def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    i, j, ok = _linked_in_blocks(pdf)
+    x, y = np.nonzero(ok)
+    cls, n = pdf["cls"].to_numpy(), pdf["n"].to_numpy()
+    a, b = i[x], j[y]
+    swap = (cls[a] > cls[b]) | ((cls[a] == cls[b]) & (n[a] > n[b]))
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    return pd.DataFrame({"a_cls": cls[a], "a_n": n[a], "b_cls": cls[b], "b_n": n[b]})
+
+
+def _block_counts(pdf: pd.DataFrame) -> pd.DataFrame:
+    i, j, ok = _linked_in_blocks(pdf)
+    copies, found = pdf["copies"].to_numpy(), np.zeros(len(pdf), np.int64)
+    found[i] += ok @ copies[j]
+    found[j] += ok.T @ copies[i]
+    return pd.DataFrame({"cls": pdf["cls"], "n": pdf["n"], "others": found})
+
+
+def all_links(spark: SparkSession, classes: DataFrame, links: DataFrame, reps: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every link between classes of one component, given ``links`` that connect the components.
+
+    ``classes`` holds node, component, least_id and copies (rows of the class). Returns
+    (node, component_id, n_links) and the links. ``n_links`` counts the other rows that a
+    row of the class is linked with, copies included.
+
+    A component whose classes are all linked with each other already is complete. Of every other one all pairs of
+    classes are compared, block of classes against block of classes: each task
+    gets two blocks' texts once and counts the occurrences of all its pairs together, so
+    no text is joined to a pair. Counting gives sums per class and pair of blocks; the pairs
+    themselves are made only when the second result is used.
+    """
+    sized = (classes.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("size"),
+                                              F.sum("copies").alias("rows"), F.sum("node.n").alias("shingles")))
+    known = (links.distinct().join(classes.select("node", "component"), F.col("node") == _node("a_cls", "a_n"))
+             .groupBy("component").agg(F.count("*").alias("known")))
+    sized = stored(spark, sized.join(known, "component", "left")
+                   .withColumn("complete", F.coalesce("known", F.lit(0)) == F.col("size") * (F.col("size") - 1) / 2), "components")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_CLASSES, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    members = (classes.select("node", "component", "copies").join(sized.where("not complete"), "component")
+               .select("node.cls", "node.n", "copies", F.col("component.cls").alias("g_cls"), F.col("component.n").alias("g_n"), blocks.alias("blocks"))
+               .withColumn("block", F.pmod(F.xxhash64("cls", "n"), "blocks").cast("int")).join(reps, ["cls", "n"]))
+    members = stored(spark, members, "open-classes")
+    dealt = (_with_texts(spark, members, base).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+             .select("g_cls", "g_n", "x", "y", "block", "cls", "n", "copies", "text").groupBy("g_cls", "g_n", "x", "y"))
+    counts = (dealt.applyInPandas(_block_counts, "cls long, n int, others long")
+              .groupBy(_node("cls", "n").alias("node")).agg(F.sum("others").alias("others")))
+    by_class = (classes.join(sized, "component").join(counts, "node", "left")
+                .select("node", "component_id", F.when(F.col("complete"), F.col("rows") - 1)
+                        .otherwise(F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
+    closed = (links.distinct().join(classes.select("node", "component"), F.col("node") == _node("a_cls", "a_n"))
+              .join(sized.where("complete").select("component"), "component").select(*links.columns))
+    return by_class, closed.union(dealt.applyInPandas(_block_links, "a_cls long, a_n int, b_cls long, b_n int"))
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
                  cell_rows: int = CELL_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Exact join of all documents on 5-word shingle Jaccard >= 0.75, up to connectivity.
+    """Exact join of all documents on 5-word shingle Jaccard >= 0.75: every pair, and its groups.
+
+    Returns (documents, links): per row ``key``, ``n_shingles``, ``component_id`` and
+    ``n_links`` (the other rows it is linked with); and all verified links between classes.
+    A class is the documents with one shingle set; its 64-bit digest together with the
+    set's size stands for it, and its documents are linked with each other.
+
+    ``connectivity`` finds the components, ``all_links`` the links inside them; there are
+    none between components.
+
+    Defined cases: null, empty and blank texts have no shingles and are linked with nothing
+    (their component is their own key); null keys get a null component unless linked with a
+    keyed row; repeated rows share a class; an empty table gives no rows; extra columns are
+    not carried.
+    """
+    rows, classes, links, reps, base = connectivity(spark, docs, key, text, cell_rows)
+    by_class, links = all_links(spark, stored(spark, classes, "classes"), links, reps, base)
+    return _per_row(rows, by_class, key, F.coalesce("n_links", F.lit(0)).alias("n_links")), links
+
+
+def _per_row(rows: DataFrame, by_class: DataFrame, key: str, *more) -> DataFrame:
+    keyed = rows.withColumn("node", F.struct("cls", F.col("n").cast("int").alias("n")))
+    return (keyed.join(by_class, "node", "left")
+            .select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *more))
+
+
+def classes_of(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """(node, component, least_id, copies) of the classes of ``rows`` (id, n, cls)."""
+    return (rows.where("n > 0").groupBy(F.struct("cls", F.col("n").cast("int").alias("n")).alias("node"))
+            .agg(F.min("id").alias("least_id"), F.count("*").alias("copies"))
+            .join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
+
 
-    Returns (documents, links): per row ``key``, ``n_shingles``, ``component_id``; and
-    verified links between classes. A class is the documents with one shingle set; its
-    64-bit digest together with the set's size stands for it.
+def connectivity(spark: SparkSession, docs: DataFrame, key: str, text: str, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, ...]:
+    """Components of the documents under 5-word shingle Jaccard >= 0.75, exact.
+
+    Returns rows, their classes with components, links enough to connect each component,
+    one row of each class, and the texts.
 
     T-occurrence search: a partner shares T shingles, so by DivideSkip the T - 1 longest
     lists of a document are not merged but probed later. Shingles are ordered by a
@@ -270,11 +412,6 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
 
     Candidates must pass the size bound and the position bound (what is left after the
     shared shingle must reach T); the check itself counts the overlap of the full sets.
-
-    Defined cases: null, empty and blank texts have no shingles and are linked with nothing
-    (their component is their own key); null keys get a null component unless linked with a
-    keyed row; repeated rows share a class; an empty table gives no rows; extra columns are
-    not carried.
     """
     base = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
     described = stored(spark, base.mapInPandas(
@@ -320,15 +457,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     links = stored(spark, links.union(_check(spark, rest, reps, base)), "links")
     components = connected_components(spark, _edges(links))
 
-    keyed = rows.withColumn("node", F.struct("cls", F.col("n").cast("int").alias("n")))
-    classes = keyed.where("n > 0").groupBy("node").agg(F.min("id").alias("least_id"))
-    grouped = (classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    least = grouped.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_class = grouped.join(least, "component").select("node", "component_id")
-    out = (keyed.join(by_class, "node", "left")
-           .select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
-                   F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
-    return out, links
+    return rows, classes_of(rows, components), links, reps, base
 
 
 def _possible(n: str, m: str, n_at: str, m_at: str) -> str:
@@ -349,14 +478,22 @@ def _edges(links: DataFrame) -> DataFrame:
 
 def _check(spark: SparkSession, pairs: DataFrame, reps: DataFrame, base: DataFrame) -> DataFrame:
     """The candidate pairs whose full sets are similar enough, from one text of each class.
+    """
+    sides = [pairs.select("*", F.lit(s).alias("side"), F.col(s + "_cls").alias("cls"), F.col(s + "_n").cast("long").alias("n")) for s in "ab"]
+    members = stored(spark, sides[0].union(sides[1]).join(reps, ["cls", "n"]).drop("cls", "n"), "members")
+    both = (_with_texts(spark, members, base).groupBy(*pairs.columns)
+            .agg(*[F.max(F.when(F.col("side") == s, F.col("text"))).alias("text_" + s) for s in "ab"]))
+    return both.mapInPandas(_verify, "a_cls long, a_n int, b_cls long, b_n int")
+
+
+def _with_texts(spark: SparkSession, members: DataFrame, base: DataFrame) -> DataFrame:
+    """``members`` (stored, with ``row``) with their texts.
 
     ``row`` is a hash of key and text, so it is the same in every scan, and repeated rows
     count once. A bitmap of fixed size over these first passes over the texts that are not
     wanted, so that the join shuffles few of them; what it lets through by accident
     (all texts, once it is full) the join itself drops.
     """
-    sides = [pairs.select("*", F.lit(s).alias("side"), F.col(s + "_cls").alias("cls"), F.col(s + "_n").cast("long").alias("n")) for s in "ab"]
-    members = stored(spark, sides[0].union(sides[1]).join(reps, ["cls", "n"]).drop("cls", "n"), "members")
     slot = F.pmod("row", F.lit(1 << FILTER_BITS))
     parts = (members.groupBy(F.bitmap_bucket_number(slot + 1).alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")).collect())
@@ -372,9 +509,7 @@ def _check(spark: SparkSession, pairs: DataFrame, reps: DataFrame, base: DataFra
         return pd.Series((wanted.value[s >> 3] >> (7 - (s & 7))) & 1 == 1)
 
     texts = base.select("row", "text").withColumn("wanted", may_be_wanted(slot)).where("wanted").groupBy("row").agg(F.max("text").alias("text"))
-    both = (members.join(texts, "row").groupBy(*pairs.columns)
-            .agg(*[F.max(F.when(F.col("side") == s, F.col("text"))).alias("text_" + s) for s in "ab"]))
-    return both.mapInPandas(_verify, "a_cls long, a_n int, b_cls long, b_n int")
+    return members.join(texts, "row")
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,6 +521,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows without a key stay, and so do all rows that carry a group's smallest key.
     """
-    found = jaccard_join(spark, docs)[0]
+    rows, classes, *_ = connectivity(spark, docs, "doc_id", "text")
+    least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    found = _per_row(rows, classes.join(least, "component").select("node", "component_id"), "doc_id")
     dropped = found.where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -213,6 +213,43 @@ def test_join_matches_brute_force(spark, texts, cell_rows):
     assert got == brute_components(rows)
 
 
+def brute_links(rows):
+    """Linked pairs of rows, by their keys."""
+    found = set()
+    sets = {i: s for (i, _), s in zip(rows, shingle_sets([t for _, t in rows]))}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            common = len(np.intersect1d(a, b)) if i < j else 0
+            if common and 100 * common >= 75 * (len(a) + len(b) - common):
+                found.add((i, j))
+    return found
+
+
+def class_of(sets):
+    return [(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True), len(s)) for s in sets]
+
+
+def links_of(links):
+    """The returned links, none twice."""
+    got = [((r.a_cls, r.a_n), (r.b_cls, r.b_n)) for r in links.collect()]
+    assert len(set(map(frozenset, got))) == len(got)
+    return set(map(frozenset, got))
+
+
+@pytest.mark.parametrize("cell_rows, block", [(J.CELL_ROWS, J.BLOCK_CLASSES), (4, 9)])
+def test_join_returns_every_link_of_large_families(spark, monkeypatch, cell_rows, block):
+    """Families of more than 16 differing copies, of which some pairs are not alike, and exact copies."""
+    monkeypatch.setattr(J, "BLOCK_CLASSES", block)
+    rows = family(60, 120, 5, 1) + family(40, 60, 4, 2, 100) + family(25, 200, 2, 3, 200) + family(3, 80, 0, 4, 300) + [(400, None), (401, "one")]
+    want = brute_links(rows)
+    assert len(want) < 60 * 59 / 2 + 40 * 39 / 2 + 25 * 24 / 2
+    out, links = J.jaccard_join(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(5), cell_rows=cell_rows)
+    degree = collections.Counter(i for pair in want for i in pair)
+    assert {r.doc_id: r.n_links for r in out.collect()} == {i: degree[i] for i, _ in rows}
+    cls = dict(zip([i for i, _ in rows], class_of(shingle_sets([t for _, t in rows]))))
+    assert links_of(links) == {frozenset((cls[i], cls[j])) for i, j in want if cls[i] != cls[j]}
+
+
 def test_join_repeated_and_null_keys(spark, tmp_dir):
     got = J.jaccard_join(spark, saved(spark, tmp_dir, ODD))[0].collect()
     assert len(got) == len(ODD)
