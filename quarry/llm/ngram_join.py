@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: T-occurrence search over inverted lists, and its linked components."""
+"""N-gram Jaccard join: prefix-filtered inverted lists, verified sets, linked components and all links inside them."""
 
 from __future__ import annotations
 
@@ -37,10 +37,10 @@ def required_overlap(n_a, n_b):
 
 
 def short_lists(n: int) -> int:
-    """How many of a document's n lists must be merged so that no partner is missed.
+    """How many of a document's n lists must be built so that no partner is missed.
 
-    A partner shares at least ceil(0.75 n) shingles, so the T - 1 longest lists can be left
-    to probing: a partner appears in at least one of the others.
+    A partner shares at least ceil(0.75 n) shingles, so it appears in at least one list
+    when all but the ceil(0.75 n) - 1 longest are built.
     """
     return n - -(-SIMILARITY_PERCENT * n // 100) + 1 if n else 0
 
@@ -181,8 +181,8 @@ def _lists(batches):
 def overlap_divide_skip(query: np.ndarray, other: np.ndarray, need: int) -> int:
     """How many members of sorted ``query`` are in sorted ``other``; -1 once ``need`` is out of reach.
 
-    The shorter set is merged first on a run short enough to decide, the rest is probed by
-    binary search, as lists too long to merge are.
+    Both are full shingle sets. The shorter one's first members, so many that a partner
+    shares one of them, are looked up first; the rest only if one was found.
     """
     if len(query) > len(other):
         query, other = other, query
@@ -394,11 +394,10 @@ def connectivity(spark: SparkSession, docs: DataFrame, key: str, text: str, cell
     Returns rows, their classes with components, links enough to connect each component,
     one row of each class, and the texts.
 
-    T-occurrence search: a partner shares T shingles, so by DivideSkip the T - 1 longest
-    lists of a document are not merged but probed later. Shingles are ordered by a
-    frequency sketch over all documents (ties by hash): the rarest ones are the short
-    lists, so passages and phrases that many documents share are never merged. Only short
-    lists are shuffled. Two rounds then look at them:
+    Prefix filter: shingles are ordered by a frequency sketch over all documents (ties by
+    hash), and only a document's rarest ones, its short lists, make postings and are shuffled;
+    passages and phrases that many documents share are not. Long lists are neither built nor probed: a
+    candidate's full set is intersected instead. Two rounds look at the short lists:
 
     1. Lists of up to ``COMPARED_AT_ONCE`` classes are compared within themselves. In longer
        ones the centre (the class whose short list it is earliest, so with the fewest
