@@ -74,10 +74,14 @@ def load_typed_delimited(spark: SparkSession, path: str, sep: str = ";",
     Records with a wrong number of fields go to the quarantine whole, as ``field count``.
 
     ``type_row=False`` keeps the type line as a data row and every column a
-    string (the behaviour of a plain bulk load of the reader).
+    string (the behaviour of a plain bulk load of the reader). If records have a wrong
+    number of fields (looked for in one pass over the file), their whole text is in a
+    further column ``MALFORMED``, null for all others.
     """
     if not type_row:
-        return read_delimited(spark, path, sep)
+        raw = read_delimited(spark, path, sep, keep_malformed=True)
+        whole = not raw.where(F.col(MALFORMED).isNotNull()).take(1)
+        return raw.drop(MALFORMED) if whole else raw
     raw = read_delimited(spark, path, sep, keep_malformed=True)
     fields = raw.drop(MALFORMED)
     names = find_type_row(fields)

@@ -177,3 +177,14 @@ def test_top_terms_rank_undated_rows_too(spark):
     df = spark.createDataFrame([("a", None)] * 5 + [("a", "2020-01-01"), ("b", "2020-01-01"), ("b", "2020-02-01")], "k string, d string")
     got = top_terms_histogram(df.withColumn("d", F.to_timestamp("d")), "k", "d", size=1).collect()
     assert {r.k for r in got} == {"a"}
+
+
+def test_untyped_load_keeps_wrong_field_counts(spark, tmp_dir):
+    from quarry.sources.delimited import MALFORMED, load_typed_delimited
+    with open(f"{tmp_dir}/u.csv", "w") as f:
+        f.write("A;B\nSTRING;INT\nx;1\nz;3;EXTRA\nshort\ny;bad\n")
+    df = load_typed_delimited(spark, f"{tmp_dir}/u.csv", type_row=False)
+    rows = df.collect()
+    assert df.columns == ["A", "B", MALFORMED]
+    assert {r[MALFORMED] for r in rows} == {None, "z;3;EXTRA", "short"}
+    assert {(r.A, r.B) for r in rows if r[MALFORMED] is None} == {("STRING", "INT"), ("x", "1"), ("y", "bad")}
