@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.operators.postings import doc_lengths, postings, write_postings
 from quarry.session import scratch_dir
@@ -37,17 +38,23 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_on: str | None = No
     return df
 
 
-_text_indexes: dict[tuple[str, str], str] = {}
+_text_indexes: dict[tuple, str] = {}
+
+
+def files_state(df: DataFrame) -> tuple:
+    """Number of the files that ``df`` reads rows from, and a hash of their paths, lengths and modification times."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first())
 
 
 def text_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Stored postings and length tables of ``documents.text``.
 
-    Written once per application and table folder, below the shared checkpoint folder;
-    later queries read the files with the token filter pushed down. The tables are taken
-    to be immutable while the application runs.
+    Written once per application and state of the table's files, below the shared checkpoint folder;
+    later queries read the files with the token filter pushed down. A table that was
+    rewritten or appended to is indexed anew.
     """
-    known = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    known = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), files_state(load(spark, sf_dir, "documents")))
     if known not in _text_indexes:
         path = scratch_dir(spark, f"text-index-{uuid.uuid4().hex}")
         docs = load(spark, sf_dir, "documents", spread_on="doc_id")

@@ -188,3 +188,19 @@ def test_untyped_load_keeps_wrong_field_counts(spark, tmp_dir):
     assert df.columns == ["A", "B", MALFORMED]
     assert {r[MALFORMED] for r in rows} == {None, "z;3;EXTRA", "short"}
     assert {(r.A, r.B) for r in rows if r[MALFORMED] is None} == {("STRING", "INT"), ("x", "1"), ("y", "bad")}
+
+
+def test_text_index_follows_a_changed_table(spark, tmp_dir):
+    from quarry.plans import common
+    path = f"{tmp_dir}/documents.parquet"
+
+    def ids():
+        return sorted(r.doc_id for r in common.text_index(spark, tmp_dir)[0].where("token = 'fix'").collect())
+
+    spark.createDataFrame([(1, "fix it"), (2, "no")], "doc_id long, text string").write.parquet(path)
+    assert ids() == [1] and ids() == [1]
+    built = len(common._text_indexes)
+    spark.createDataFrame([(3, "a fix")], "doc_id long, text string").write.mode("append").parquet(path)
+    assert ids() == [1, 3] and len(common._text_indexes) == built + 1
+    spark.createDataFrame([(4, "fix")], "doc_id long, text string").write.mode("overwrite").parquet(path)
+    assert ids() == [4]
