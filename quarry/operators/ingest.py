@@ -1,7 +1,7 @@
 """Loading and changing tables.
 
 Tables are Parquet folders. A keyed table is a series of immutable snapshots
-``<path>/snapshot-<n>`` plus a small pointer written last, so a reader never
+``<path>/snapshot-<n>``, of which only whole ones are read, so a reader never
 sees a half-written version and a replayed write produces the same snapshot.
 """
 
@@ -15,6 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources.files import matching_paths
+
+# Column that ranks equal versions by arrival while tables are folded.
+ARRIVAL = "quarry_arrival"
+
 
 # --- K1-K3: table creation -------------------------------------------------
 
@@ -65,96 +70,86 @@ def grow_schema(*dfs: DataFrame) -> DataFrame:
 
 # --- K4: keyed upsert --------------------------------------------------------
 
+def _hashable(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
     """Keep the last row per key, "last" by the ``order`` columns (a version).
 
     Written as ``max_by`` in a group-by, so it is combined partially on the map
-    side: a key with millions of versions sends one row per task to the shuffle.
+    side: a key with millions of versions sends one row per task to the shuffle. Of equal
+    versions the row with the largest content hash wins, so reruns agree; to rank
+    them by arrival, give an arrival column as the last of ``order`` (as ``upsert`` does).
     """
     keys = [key] if isinstance(key, str) else list(key)
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    version = F.struct(*[F.col(c) for c in order])
+    version = F.struct(*[F.col(c) for c in order], F.xxhash64(*_hashable(df, payload)) if _hashable(df, payload) else F.lit(0))
     row = F.struct(*[F.col(c) for c in payload])
     return df.groupBy(*keys).agg(F.max_by(row, version).alias("_row")) \
              .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
 
-def upsert(base: DataFrame | None, changes: DataFrame, key: Sequence[str] | str,
-           order: Sequence[str]) -> DataFrame:
-    """Insert or replace by key (K4): the newest version of each key wins."""
-    src = changes if base is None else grow_schema(base, changes)
-    out = latest_per_key(src, key, order)
-    cols = base.columns + [c for c in changes.columns if c not in base.columns] \
-        if base is not None else changes.columns
-    return out.select(*cols)
+def latest_of(parts: Sequence[tuple[int, DataFrame]], key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """The newest version per key of several frames, each with its arrival: of equal versions the later arrival wins."""
+    grown = grow_schema(*[df.withColumn(ARRIVAL, F.lit(at).cast("bigint")) for at, df in parts])
+    return latest_per_key(grown, key, [*order, ARRIVAL]).drop(ARRIVAL)
 
 
-def _snapshot_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/snapshot-{version:012d}"
+def upsert(base: DataFrame | None, changes: DataFrame, key: Sequence[str] | str,
+           order: Sequence[str]) -> DataFrame:
+    """Insert or replace by key (K4): the newest version of each key wins; of equal
+    versions the change, since it arrived later than the base row."""
+    if base is None:
+        return latest_per_key(changes, key, order).select(*changes.columns)
+    cols = base.columns + [c for c in changes.columns if c not in base.columns]
+    return latest_of([(0, base), (1, changes)], key, order).select(*cols)
 
 
-def _missing_path(err: Exception) -> bool:
-    cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
-    return bool(cond) and cond() == "PATH_NOT_FOUND"
+# A folder ``<path>/<prefix><n>`` is version n of something. Spark puts ``_SUCCESS`` into a
+# folder after all its files, so a folder with that file is whole, and one that a crash
+# left behind has none and is never read. There is no other record of what is committed.
+SNAPSHOT = "snapshot-"
 
 
-def read_pointer(spark: SparkSession, path: str) -> dict | None:
-    """The last committed snapshot version of a keyed table, or None if none was written.
+def versions(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
+    """The whole folders ``<path>/<prefix><n>``, by n."""
+    found = [f.rsplit("/", 1)[0] for f in matching_paths(spark, f"{path.rstrip('/')}/{prefix}*/_SUCCESS")]
+    return {int(f.rsplit("/", 1)[1][len(prefix):]): f for f in found}
 
-    Only a missing pointer means "no snapshot yet"; any other read error is
-    raised, so a transient failure can never be taken for an empty table.
-    """
-    from pyspark.errors import AnalysisException
-    try:
-        row = spark.read.schema("version long, previous long") \
-                   .json(f"{path.rstrip('/')}/_pointer") \
-                   .agg(F.max(F.struct("version", "previous")).alias("p")).first()["p"]
-    except AnalysisException as e:
-        if _missing_path(e):
-            return None
-        raise
-    return None if row is None else row.asDict()
 
+def _write_version(df: DataFrame, path: str, prefix: str, version: int) -> None:
+    """Write version ``version``, in place of what a crashed run left there."""
+    spark, name = df.sparkSession, f"{prefix}{version:012d}"
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    if version not in versions(spark, path, prefix):
+        raise RuntimeError(f"{path}/{name} has no _SUCCESS file, which marks whole folders here: "
+                           "mapreduce.fileoutputcommitter.marksuccessfuljobs must be on")
 
-def _commit_pointer(spark: SparkSession, path: str, version: int, previous: int | None) -> None:
-    """Add the record of a committed version; earlier ones are never touched, so a crash
-    here leaves the table at the version before."""
-    spark.createDataFrame([(version, previous)], "version long, previous long") \
-         .coalesce(1).write.mode("ignore").json(f"{path.rstrip('/')}/_pointer/v={version}")
 
-
-def write_snapshot(df: DataFrame, path: str, version: int, previous: int | None) -> None:
-    """Write snapshot ``version`` (overwriting a partial one), then move the pointer."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(_snapshot_path(path, version))
-    _commit_pointer(spark, path, version, previous)
+def _before(known: dict[int, str], version: int | None) -> int | None:
+    return max((v for v in known if version is None or v < version), default=None)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    p = read_pointer(spark, path)
-    return None if p is None else spark.read.parquet(_snapshot_path(path, p["version"]))
+    known = versions(spark, path, SNAPSHOT)
+    return spark.read.parquet(known[max(known)]) if known else None
 
 
 def upsert_table(spark: SparkSession, path: str, changes: DataFrame, key, order,
                  version: int) -> DataFrame:
     """Apply ``changes`` to the keyed table at ``path`` as snapshot ``version``.
 
-    A replay of the same version starts again from the snapshot before it, so
-    running a failed batch twice gives the same table.
+    The base is the newest whole snapshot before ``version``, so a replayed batch gives the
+    same table whether it had failed before, during or after its write.
     """
-    p = read_pointer(spark, path)
-    if p is None:
-        base_version = None
-    elif p["version"] == version:
-        base_version = p["previous"]
-    else:
-        base_version = p["version"]
-    base = None if base_version is None else spark.read.parquet(_snapshot_path(path, base_version))
-    new = upsert(base, changes, key, order)
-    write_snapshot(new, path, version, base_version)
-    return spark.read.parquet(_snapshot_path(path, version))
+    known = versions(spark, path, SNAPSHOT)
+    at = _before(known, version)
+    base = None if at is None else spark.read.parquet(known[at])
+    _write_version(upsert(base, changes, key, order), path, SNAPSHOT, version)
+    return read_current(spark, path)
 
 
 # --- K5: unkeyed append ------------------------------------------------------
@@ -237,10 +232,14 @@ def quarantined(tagged: DataFrame) -> DataFrame:
 
 def outcomes(tagged: DataFrame, schema: T.StructType) -> DataFrame:
     """Per-record outcome (K7): the tagged rows with ``status`` and, for a rejected one,
-    ``reason``: each failed column, its text and the declared type it cannot be read as."""
+    ``reason``: each failed column, its text and the declared type it cannot be read as; an
+    error that is not a column's (``field count``) is given as it is, with the record."""
     reasons = F.array(*[F.when(F.array_contains("_errors", f.name), F.concat(
         F.lit(f"{f.name}: "), F.coalesce(F.get_json_object("_raw", f"$['{f.name}']"), F.lit("null")), F.lit(f" is not {f.dataType.simpleString()}")))
         for f in schema.fields])
+    names = [f.name for f in schema.fields]
+    others = F.transform(F.filter("_errors", lambda e: ~e.isin(names)), lambda e: F.concat(e, F.lit(": "), F.col("_raw")))
+    reasons = F.concat(reasons, others)
     bad = F.size("_errors") > 0
     return (tagged.withColumn("status", F.when(bad, F.lit("rejected")).otherwise(F.lit("accepted")))
             .withColumn("reason", F.when(bad, F.array_join(reasons, "; "))))
@@ -287,9 +286,10 @@ class ChangeLogTable:
 
     Writing a batch costs the batch, not the table: its rows, folded to the
     newest version per key, go to ``log/quarry_batch=<id>`` (overwritten on replay).
-    Reading folds base and newer log batches with one partially aggregated
-    ``max_by``. ``compact`` writes that fold as the next base, then moves the
-    pointer; batches at or below the pointer are no longer read.
+    Reading folds the newest whole base and the whole log batches after it with one
+    partially aggregated ``max_by``; of equal versions the later batch wins. Only those folders
+    are opened, and batches of different schemas are read apart and grown together.
+    ``compact`` writes that fold as the next base.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: Sequence[str] | str,
@@ -297,46 +297,33 @@ class ChangeLogTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.key, self.order = key, list(order)
 
-    def _base_version(self) -> int | None:
-        p = read_pointer(self.spark, self.path)
-        return None if p is None else p["version"]
-
     def append_changes(self, changes: DataFrame, batch_id: int) -> None:
-        latest_per_key(changes, self.key, self.order).write.mode("overwrite") \
-            .parquet(f"{self.path}/log/{LOG_BATCH}={batch_id}")
-
-    def _log(self, after: int | None, upto: int | None = None) -> DataFrame | None:
-        from pyspark.errors import AnalysisException
-        try:
-            log = self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/log")
-        except AnalysisException as e:
-            if _missing_path(e):  # no batch written yet
-                return None
-            raise
-        if after is not None:
-            log = log.where(F.col(LOG_BATCH) > F.lit(after))
-        if upto is not None:
-            log = log.where(F.col(LOG_BATCH) <= F.lit(upto))
-        return log.drop(LOG_BATCH)
+        _write_version(latest_per_key(changes, self.key, self.order), f"{self.path}/log", f"{LOG_BATCH}=", batch_id)
+
+    def _log(self, after: int | None, upto: int | None) -> list[DataFrame]:
+        """The batches after a base, one frame per schema, with their batch as arrival."""
+        by_schema: dict[str, list[str]] = {}
+        for batch, folder in sorted(versions(self.spark, f"{self.path}/log", f"{LOG_BATCH}=").items()):
+            if (after is None or batch > after) and (upto is None or batch <= upto):
+                by_schema.setdefault(self.spark.read.parquet(folder).schema.json(), []).append(folder)
+        reader = self.spark.read.option("basePath", f"{self.path}/log")
+        return [reader.parquet(*folders).withColumn(ARRIVAL, F.col(LOG_BATCH).cast("bigint")).drop(LOG_BATCH)
+                for folders in by_schema.values()]
 
     def current(self, upto: int | None = None) -> DataFrame:
-        v = self._base_version()
-        parts = []
-        if v is not None:
-            parts.append(self.spark.read.parquet(_snapshot_path(self.path, v)))
-        log = self._log(v, upto)
-        if log is not None:
-            parts.append(log)
+        bases = versions(self.spark, self.path, SNAPSHOT)
+        at = _before(bases, None if upto is None else upto + 1)
+        parts = self._log(at, upto)
+        if at is not None:
+            base = self.spark.read.parquet(bases[at])
+            if not parts:
+                return base
+            parts.insert(0, base.withColumn(ARRIVAL, F.lit(-1).cast("bigint")))
         if not parts:
             raise ValueError(f"table {self.path} has no data")
-        if len(parts) == 1 and log is None:
-            return parts[0]
-        return latest_per_key(grow_schema(*parts), self.key, self.order)
+        return latest_per_key(grow_schema(*parts), self.key, [*self.order, ARRIVAL]).drop(ARRIVAL)
 
     def compact(self, upto: int) -> None:
         """Fold everything up to batch ``upto`` into a new base (no-op if done)."""
-        v = self._base_version()
-        if v is not None and v >= upto:
-            return
-        self.current(upto).write.mode("overwrite").parquet(_snapshot_path(self.path, upto))
-        _commit_pointer(self.spark, self.path, upto, v)
+        if max(versions(self.spark, self.path, SNAPSHOT), default=-1) < upto:
+            _write_version(self.current(upto), self.path, SNAPSHOT, upto)

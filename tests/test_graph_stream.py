@@ -16,6 +16,46 @@ def test_reachable_diamond_each_node_once(spark):
     assert out == {"d": 0, "b": 1, "c": 1, "a": 2, "z": 3}
 
 
+def brute_depths(edges, roots):
+    """Least distances by a plain breadth-first search."""
+    onward = {}
+    for a, b in edges:
+        onward.setdefault(a, set()).add(b)
+    depth, level = {r: 0 for r in roots}, list(roots)
+    while level:
+        level = [b for a in level for b in onward.get(a, ()) if depth.setdefault(b, depth[a] + 1) == depth[a] + 1]
+        level = list(dict.fromkeys(level))
+    return depth
+
+
+def depths(spark, edges, roots, stats=None):
+    e = spark.createDataFrame(edges, "child long, parent long").repartition(4)
+    r = spark.createDataFrame([(x,) for x in roots], "node long")
+    got = reachable(e, r, stats=stats).collect()
+    assert len(got) == len({x.node for x in got})
+    return {x.node: x.depth for x in got}
+
+
+def test_reachable_deep_history_in_few_rounds(spark):
+    """100,000 commits in a line, 300 branches that were merged back, and one that never was."""
+    n = 100_000
+    edges = [(i, i - 1) for i in range(1, n)]
+    for k in range(300):
+        tip, first = 310 * (k + 1), n + 10 * k
+        edges += [(tip, first), (first, first + 1), (first + 1, tip - 7 - k % 5)]
+    edges += [(n + 5000, n + 5001), (n + 5001, 17)]
+    stats = {}
+    assert depths(spark, edges, [n - 1], stats) == brute_depths(edges, [n - 1])
+    assert stats["rounds"] < 60
+
+
+def test_reachable_circles_entries_inside_chains_and_several_roots(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (4, 2), (5, 4), (5, 6), (6, 6), (6, 7), (7, 8), (8, 9), (20, 8), (21, 20), (9, 1), (30, 31), (None, 5), (5, None)]
+    for roots in ([5], [21, 7], [3], [9, 30], [99], []):
+        got = depths(spark, edges, roots)
+        assert got == brute_depths([e for e in edges if None not in e], roots), roots
+
+
 def test_previous_in_group_equals_lag(spark):
     rows = [(g, k) for g in (1, 2, None) for k in range(g or 0, 60, 3)] + [(3, 7)]
     df = spark.createDataFrame(rows, "g long, k long")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.sources.commits import commit_edges, read_commits, with_analysed_fields, with_computed_columns
-from quarry.sources.delimited import load_typed_delimited
+from quarry.sources.delimited import MALFORMED, load_typed_delimited
 from quarry.sources.tables import lookup, scan_pattern
 
 
@@ -31,7 +31,8 @@ def test_untyped_csv_keeps_type_row(spark, tmp_dir):
     p = f"{tmp_dir}/u.csv"
     _write(p, "A;B\nSTRING;INT\nx;1\n")
     raw = load_typed_delimited(spark, p, type_row=False)
-    assert raw.count() == 2 and dict(raw.dtypes) == {"A": "string", "B": "string"}
+    assert raw.count() == 2 and dict(raw.dtypes) == {"A": "string", "B": "string", MALFORMED: "string"}
+    assert raw.where(F.col(MALFORMED).isNotNull()).count() == 0
 
 
 def test_unknown_type_name_raises(spark, tmp_dir):
