@@ -34,45 +34,42 @@ BLOCK = 16_384
 LEAF_VECTORS = 24
 HELD_WORDS = 300_000
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+# In text whose A-Z are lower case already; shorter runs can make no word.
+_RUN = re.compile("[a-zÀ-ÿ]{%d,}" % LEAST_LETTERS)
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
 
-def words_of(key: str, text: str, least: int = LEAST_LETTERS) -> Counter:
-    """The words of one document with their counts: runs of letters, some with a letter left out."""
-    runs: Counter = Counter()
+def add_words(held: dict, key: str, text: str, least: int = LEAST_LETTERS) -> None:
+    """Count the words of one document: runs of letters, some with a letter left out."""
+    if not text.islower():
+        text = text.encode().translate(_LOWER).decode()
+    start, get = zlib.crc32(f"{key}:".encode()), held.get
     for run, n in Counter(_RUN.findall(text)).items():
-        if len(run) >= least:
-            runs[run.translate(_LOWER)] += n
-    start, words = zlib.crc32(f"{key}:".encode()), Counter()
-    for run, n in runs.items():
         h = zlib.crc32(run.encode(), start)
         if h % SLIP_EVERY == 0:
             at = h % len(run)
             run = run[:at] + run[at + 1:]
             if len(run) < least:
                 continue
-        words[run] += n
-    return words
+        held[run] = get(run, 0) + n
 
 
 def _count_words(batches):
     """Word counts summed over a part of the task."""
-    held: Counter = Counter()
+    held: dict[str, int] = {}
 
     def emit():
-        names = list(held)
-        for lo in range(0, len(names), 50_000):
-            some = names[lo: lo + 50_000]
-            yield pa.RecordBatch.from_pydict({"word": some, "n": [held[w] for w in some]}, schema=_COUNTS)
+        names, counts = list(held), list(held.values())
+        for lo in range(0, len(names), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(names[lo: lo + 100_000], pa.string()), pa.array(counts[lo: lo + 100_000], pa.int64())], schema=_COUNTS)
 
     for batch in batches:
         for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-            held.update(words_of(key, text))
+            add_words(held, key, text)
             if len(held) > HELD_WORDS:
                 yield from emit()
-                held = Counter()
+                held.clear()
     yield from emit()
 
 
@@ -82,7 +79,8 @@ def letter_counts(words: list[bytes]) -> np.ndarray:
     flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
     place = np.where(flat < 0xC0, flat - ord("a"), flat - 0xC0 + 26) + LETTERS * np.repeat(np.arange(len(words)), size)
     out = np.bincount(place, minlength=LETTERS * len(words)).reshape(-1, LETTERS)
-    return out.astype(np.int16 if not len(size) or size.max() < 16_000 else np.int64)
+    most = size.max(initial=0)
+    return out.astype(np.int8 if most < 60 else np.int16 if most < 16_000 else np.int64)
 
 
 class KdTree:
@@ -176,18 +174,20 @@ def near_pairs(queries: list[bytes], homes: list[bytes]):
         return
     longer = len(homes[0]) - len(queries[0])
     (q_vectors, q_words), (h_vectors, h_words) = _distinct(queries), _distinct(homes)
+    used = np.flatnonzero(q_vectors.any(axis=0) | h_vectors.any(axis=0))
+    q_vectors, h_vectors = q_vectors[:, used], h_vectors[:, used]
     tree = KdTree(h_vectors, LEAF_VECTORS)
     for leaf, rows in tree.reach(q_vectors, 1, 1 - longer):
         members = tree.leaves[leaf]
-        step = max(1, (1 << 22) // (LETTERS * len(members)))
+        step = max(1, (1 << 22) // (len(used) * len(members)))
         for lo in range(0, len(rows), step):
             some = rows[lo: lo + step]
             change = h_vectors[members][None, :, :] - q_vectors[some][:, None, :]
             x, y = np.nonzero((np.maximum(change, 0).sum(axis=2) == 1) & (np.abs(change).sum(axis=2) == 2 - longer))
             for a, b in zip(x.tolist(), y.tolist()):
                 delta = change[a, b]
-                yield from _in_order(queries, q_words[some[a]], homes, h_words[members[b]], _letter(delta.argmax()),
-                                     None if longer else _letter(delta.argmin()))
+                yield from _in_order(queries, q_words[some[a]], homes, h_words[members[b]], _letter(used[delta.argmax()]),
+                                     None if longer else _letter(used[delta.argmin()]))
 
 
 def _letter(dim) -> bytes:
