@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,31 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_in(spark: SparkSession, rows: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test that every value of the long ``column`` of stored ``rows`` passes, and few others.
+
+    A bitmap of about 16 bits a row, of 4 KiB to 32 MiB, is broadcast, so that a scan can leave out most
+    of what a join would drop; with more rows than it has bits for, it lets more through.
+    """
+    size = 1 << max(15, min(28, (16 * rows.count()).bit_length()))
+    slot = F.pmod(column, F.lit(size))
+    parts = (rows.groupBy(F.bitmap_bucket_number(slot + 1).alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")).collect())
+    packed = np.zeros(size >> 3, np.uint8)
+    for r in parts:
+        some = np.frombuffer(bytes(r["bits"]), np.uint8)
+        at = (r["part"] - 1) * len(some)
+        packed[at: at + len(some)] = some[: len(packed) - at]
+    wanted = spark.sparkContext.broadcast(packed)
+
+    @F.pandas_udf("boolean")
+    def test(slots: pd.Series) -> pd.Series:
+        s = slots.fillna(0).to_numpy(dtype=np.int64)
+        return pd.Series((wanted.value[s >> 3] >> (s & 7)) & 1 == 1)
+
+    return lambda value: test(F.pmod(value, F.lit(size)))
+
+
 def fold(key: Column) -> Column:
     """crc32 of the key as text, modulo 5 (null for a null key)."""
     return F.crc32(key.cast("string").cast("binary")) % 5
@@ -41,8 +69,8 @@ def held_out(key: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
-                    key: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict]:
-    """Up to ``per_class`` learnable rows of each label value, picked by hash of the key.
+                    key: str = "doc_id", text: str = "text", most_rows: int | None = None) -> tuple[DataFrame, dict]:
+    """Up to ``per_class`` learnable rows of each label value (``most_rows`` of all), picked by hash of the key.
 
     ``labels`` holds ``key`` and ``label``. Returns (rows with ``text``, ``label`` and
     ``part``, a stable number from 0 to 5 for cross-fitting; learnable rows by label).
@@ -51,6 +79,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     pool = (labels.where(~held_out(F.col(key)) & F.col(label).isNotNull())
             .select(F.col(key), F.col(label).alias("label"), F.pmod(F.xxhash64(key), F.lit(_HASH_STEPS)).alias("__u")))
     totals = {r["label"]: r["n"] for r in pool.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if most_rows and totals:
+        per_class = max(1, min(per_class, most_rows // len(totals)))
     # a label's hash limit lets through a few more rows than wanted, and only those are ranked
     limit = F.lit(_HASH_STEPS)
     for value, n in totals.items():

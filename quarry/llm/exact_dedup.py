@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANK, stored, table
+from quarry.llm.common import BLANK, maybe_in, stored, table
 
+# Parts that rows with one key and one text are dealt to before one of them is picked.
+_SALTS = 64
 # A lone space needs no replacing, so only longer runs and other blanks are matched.
 _RUNS = f"[{BLANK}]{{2,}}|[\\x09-\\x0D]"
 
@@ -22,37 +24,52 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
 
     Rows are equal when their normalised texts are. Lengths that occur once, then
     (length, prefix hash) pairs that occur once, settle their rows; only the rest have
-    their full SHA-256 taken. Each step is a count with map-side combine, so a group of a
-    third of all rows sends one partial row per task; the joins back are ordinary joins
-    that AQE splits when skewed. The rows themselves are shuffled once for the full hash.
+    their full SHA-256 taken. The first two steps shuffle lengths and hashes. The pairs that are left are a
+    bitmap that the scan tests rows against, so settled rows never move, and the full
+    hash is taken where a row is read: texts are shuffled only as columns of the result's duplicates.
+    Counts combine map-side, so a group of a third of all rows sends one
+    partial row per task; the join of the duplicates is one that AQE splits when skewed.
 
     Defined cases: a null text is empty; of equal rows the smallest key stays, null keys
-    last, and of rows that also share the key exactly one; an empty table gives no rows;
-    input columns named like a result column are replaced. Names starting ``__`` are
-    reserved.
+    last, and of rows that also share the key exactly one (they are dealt to ``_SALTS`` parts
+    before one is picked); an empty table gives no rows; input columns named like a
+    result column are replaced. Names starting ``__`` are reserved and raise a ``ValueError``.
     """
+    taken = [c for c in docs.columns if c.startswith("__")]
+    if taken:
+        raise ValueError(f"reserved column names: {taken}")
     norm = normalised(F.col(text))
-    base = docs.drop("keep_id", "group_size", "kept").withColumn("__row", F.xxhash64(key, text))
-    shaped = base.select("__row", F.col(key).alias("__key"), norm.alias("__norm"))
-    shaped = shaped.withColumns({"__len": F.length("__norm"),
-                                 "__prefix": F.xxhash64(F.substring("__norm", 1, prefix_chars))})
-    lengths = shaped.groupBy("__len").agg(F.count("*").alias("n")).where("n > 1").select("__len")
-    heads = (shaped.select("__len", "__prefix").join(lengths, "__len", "left_semi")
-             .groupBy("__len", "__prefix").agg(F.count("*").alias("n")).where("n > 1")
-             .select("__len", "__prefix"))
-    # a row is known by a hash of its key and text, the same in every scan
-    full = stored(spark, shaped.join(heads, ["__len", "__prefix"], "left_semi")
-                  .select("__row", "__key", F.sha2("__norm", 256).alias("__full")), "full-hash")
-    first = F.min(F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"),
-                           F.col("__row").alias("row")))
-    groups = full.groupBy("__full").agg(first.alias("__first"), F.count("*").alias("__n")).where("__n > 1")
-    decided = full.join(groups, "__full").groupBy("__row").agg(F.min("__first").alias("__first"), F.min("__n").alias("__n"))
-    copy = F.row_number().over(Window.partitionBy("__row").orderBy("__row"))  # of wholly repeated rows
-    return (base.join(decided, "__row", "left").withColumn("__copy", copy)
-            .withColumns({"keep_id": F.when(F.col("__n").isNull(), F.col(key)).otherwise(F.col("__first.key")),
-                          "group_size": F.coalesce("__n", F.lit(1)).cast("long"),
-                          "kept": F.coalesce((F.col("__first.row") == F.col("__row")) & (F.col("__copy") == 1), F.lit(True))})
-            .drop("__row", "__first", "__n", "__copy"))
+    length, prefix = F.length(norm), F.xxhash64(F.substring(norm, 1, prefix_chars))
+    base = docs.drop("keep_id", "group_size", "kept")
+    shapes = stored(spark, base.select(length.alias("__len"), prefix.alias("__prefix")).groupBy("__len", "__prefix")
+                    .agg(F.count("*").alias("n")), "length-and-prefix")
+    lengths = shapes.groupBy("__len").agg(F.sum("n").alias("all")).where("all > 1").select("__len")
+    heads = stored(spark, shapes.where("n > 1").join(lengths, "__len", "left_semi")
+                   .select(F.xxhash64("__len", "__prefix").alias("pair")), "open-pairs")
+    open_ = maybe_in(spark, heads, "pair")(F.xxhash64(length, prefix))
+    left = base.withColumn("__open", open_)
+    again = left.where("__open").withColumn("__full", F.sha2(norm, 256)).drop("__open")
+
+    by_key = again.groupBy("__full", F.col(key).alias("__key")).agg(F.count("*").alias("__same"))
+    first = F.min(F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), F.col("__same").alias("same")))
+    groups = stored(spark, by_key.groupBy("__full").agg(first.alias("__first"), F.sum("__same").alias("__n")), "equal-texts")
+    decided = again.join(groups, "__full")
+    is_first = F.col(key).eqNullSafe(F.col("__first.key"))
+    repeats = F.col("__first.same") > 1
+
+    # rows that share text and key: one of each part, then one of these
+    same = decided.where(repeats & is_first).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS))).repartition("__full", "__part")
+    one = F.row_number().over(Window.partitionBy("__full", "__part").orderBy("__part"))
+    same = same.withColumn("__one", one == 1)
+    pick = F.row_number().over(Window.partitionBy("__full", F.when(F.col("__one"), F.lit(-1)).otherwise(F.col("__part"))).orderBy("__part"))
+    same = same.withColumn("kept", F.col("__one") & (pick == 1))
+
+    def result(rows, keep, size):
+        return rows.select(*base.columns, keep.alias("keep_id"), size.cast("long").alias("group_size"), "kept")
+    size = F.col("__n")
+    return (result(left.where("not __open").withColumn("kept", F.lit(True)), F.col(key), F.lit(1))
+            .union(result(decided.where(~(repeats & is_first)).withColumn("kept", is_first), F.col("__first.key"), size))
+            .union(result(same, F.col("__first.key"), size)))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

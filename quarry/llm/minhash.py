@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quarry.llm.common import stored, table
-from quarry.llm.ngram_join import _as_pairs, _check, _edges, _node, connected_components
+from quarry.llm.ngram_join import _as_pairs, _check, _edges, _node, _texts, connected_components, representatives
 from quarry.llm.shingles import SIMILARITY_PERCENT, mix64, shingle_sets
 
 PERMUTATIONS = 64
@@ -19,8 +21,8 @@ SEED = 20240607
 BANDS = 16
 #: Rows of one run of consecutive keys in ``with_next``, and the most runs (beyond, runs grow).
 RUN_ROWS = 2000
-MOST_RUNS = 20_000
-_PRIME = np.uint64((1 << 61) - 1)
+MOST_RUNS = 200_000
+_SAMPLED = 100_000
 
 
 def permutations(count: int = PERMUTATIONS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -63,9 +65,14 @@ def as_text(signature: np.ndarray) -> str:
     return (signature & np.uint32(0xFFFF)).astype(">u2").tobytes().hex()
 
 
+def from_text(fingerprint: str) -> np.ndarray:
+    """The 16-bit minima of a fingerprint."""
+    return np.frombuffer(bytes.fromhex(fingerprint), ">u2")
+
+
 def likeness(x: np.ndarray, y: np.ndarray) -> float:
-    """The share of equal minima: an estimate of the shingle sets' Jaccard similarity."""
-    return float(np.mean(x == y))
+    """The share of equal 16-bit minima, those of the fingerprint: an estimate of the shingle sets' Jaccard similarity."""
+    return float(np.mean((x ^ y) & 0xFFFF == 0))
 
 
 def with_next(docs: DataFrame, key: str, text: str, run_rows: int = RUN_ROWS) -> DataFrame:
@@ -74,21 +81,32 @@ def with_next(docs: DataFrame, key: str, text: str, run_rows: int = RUN_ROWS) ->
     A global ``lead`` would sort everything in one task. Keys are cut into runs of about
     ``run_rows`` at approximate quantiles of all keys; ``lead`` works inside runs, and the
     last row of a run takes the first row of the next run, found by an aggregate of one key
-    per run (at most ``MOST_RUNS`` rows, the only broadcast). Rows with equal keys are ordered by text; null keys come first.
+    per run (at most ``MOST_RUNS`` rows, the only broadcast). Rows with equal keys are ordered by text; null keys come
+    first. Keys are numbers, or strings (in UTF-8 order, cut at quantiles of a sample by hash of about ``_SAMPLED`` keys).
     """
     spark = docs.sparkSession
     d = docs.select(F.col(key).alias("__k"), F.coalesce(F.col(text), F.lit("")).alias("__t"))
     n, lo, hi = d.agg(F.count("*"), F.min("__k"), F.max("__k")).first()
     runs = min(MOST_RUNS, max(1, n // run_rows))
-    cuts = [] if lo is None or runs == 1 else sorted(set(d.approxQuantile("__k", [i / runs for i in range(1, runs)], 0.2 / runs)))
-    bounds = spark.sparkContext.broadcast(np.array([float(c) for c in cuts]))
+    strings = isinstance(docs.schema[key].dataType, StringType)
+    if lo is None or runs == 1:
+        cuts = []
+    elif strings:
+        some = d.select("__k").where(F.pmod(F.xxhash64("__k"), F.lit(max(1, n // _SAMPLED))) == 0).dropna().orderBy("__k").limit(4 * _SAMPLED)
+        found = [r[0] for r in some.collect()]
+        cuts = sorted({found[i * len(found) // runs] for i in range(1, runs)}) if found else []
+    else:
+        cuts = sorted(set(d.approxQuantile("__k", [i / runs for i in range(1, runs)], 0.2 / runs)))
+    bounds = spark.sparkContext.broadcast(np.array(cuts, object if strings else float))
 
     @F.pandas_udf("int")
     def run_of(k: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds.value, k.fillna(-np.inf).to_numpy(dtype=float), "right")
-        return pd.Series(at.astype("int32"))
+        known = k.to_numpy(dtype=object if strings else float, na_value=None if strings else -np.inf)
+        if strings:
+            return pd.Series([0 if x is None else bisect_right(bounds.value, x) for x in known]).astype("int32")
+        return pd.Series(np.searchsorted(bounds.value, known, "right").astype("int32"))
 
-    d = d.withColumn("__run", run_of(F.col("__k").cast("double")))
+    d = d.withColumn("__run", run_of(F.col("__k") if strings else F.col("__k").cast("double")))
     order = [F.col("__k").asc_nulls_first(), F.col("__t")]
     inside = Window.partitionBy("__run").orderBy(*order)
     rows = d.withColumn("__n", F.lead("__t").over(inside))
@@ -126,7 +144,7 @@ def _banded(bands: int):
                 sets = shingle_sets(values[lo: lo + 512])
                 part = pdf.iloc[lo: lo + 512]
                 yield pd.DataFrame({
-                    "id": part["id"].to_numpy(), "row": part["row"].to_numpy(), "n": [len(s) for s in sets],
+                    "id": part["id"].to_numpy(), "row": part["row"].to_numpy(), "row2": part["row2"].to_numpy(), "n": [len(s) for s in sets],
                     "cls": [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets],
                     "bands": list(band_values(minima(sets), bands))})
     return run
@@ -154,11 +172,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     row; repeated rows share a class; an empty table gives no rows; extra columns are not
     carried.
     """
-    base = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
+    base = _texts(docs, key, text)
     kind = docs.schema[key].dataType.simpleString()
-    rows = stored(spark, base.mapInPandas(_banded(bands), f"id {kind}, row long, n long, cls long, bands array<long>"), "minhash-bands")
-    reps = rows.where("n > 0").groupBy("cls", "n").agg(F.min("row").alias("row"), F.min("bands").alias("bands"))
-    members = reps.withColumn("n", F.col("n").cast("int")).select(_node("cls", "n").alias("node"), F.posexplode("bands").alias("band", "value"))
+    rows = stored(spark, base.mapInPandas(_banded(bands), f"id {kind}, row long, row2 long, n long, cls long, bands array<long>"), "minhash-bands")
+    reps = representatives(rows)
+    banded = rows.where("n > 0").groupBy("cls", "n").agg(F.min("bands").alias("bands"))
+    members = banded.withColumn("n", F.col("n").cast("int")).select(_node("cls", "n").alias("node"), F.posexplode("bands").alias("band", "value"))
     shared = members.groupBy("band", "value").agg(F.min("node").alias("centre"), F.count("*").alias("size")).where("size > 1")
     members = stored(spark, members.join(shared.drop("size"), ["band", "value"]), "band-members")
 
@@ -166,7 +185,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
         return f"100 * least({x}.n, {y}.n) >= {SIMILARITY_PERCENT} * greatest({x}.n, {y}.n)"
 
     stars = members.where("node <> centre").where(sized("node", "centre"))
-    reps = reps.drop("bands")
     checked = stored(spark, _as_pairs(stars, F.col("node"), F.col("centre")), "candidates")
     links = stored(spark, _check(spark, checked, reps, base), "links")
 

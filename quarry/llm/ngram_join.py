@@ -7,18 +7,19 @@ import zlib
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import stored, table
+from quarry.llm.common import maybe_in, stored, table
 from quarry.llm.shingles import SIMILARITY_PERCENT, WORDS, linked, shingle_sets
 
-#: Counters of the document-frequency sketch. The sketch only orders shingles (which of a
-#: document's lists count as short); results are the same for any size.
-SKETCH_BITS = 22
+#: Counters of the document-frequency sketch, as powers of two: 8 a document within these bounds. The
+#: sketch only orders shingles (which of a document's lists count as short); results are the same for any size.
+SKETCH_BITS = (22, 25)
 _SKETCH_PARTS = 64
-#: Bits of the filter that spares most texts that no candidate needs the join with the candidates.
-FILTER_BITS = 22
+#: Tasks whose sketches are added up at once.
+_SUMMED = 64
 #: Lists up to this long are compared within themselves at once, longer ones in two rounds.
 COMPARED_AT_ONCE = 16
 #: An inverted list is split into cells of about this many documents.
@@ -45,8 +46,8 @@ def short_lists(n: int) -> int:
     return n - -(-SIMILARITY_PERCENT * n // 100) + 1 if n else 0
 
 
-def _slot(shingles: np.ndarray) -> np.ndarray:
-    return (shingles & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+def _slot(shingles: np.ndarray, counters: int) -> np.ndarray:
+    return (shingles & np.uint64(counters - 1)).astype(np.int64)
 
 
 def _as_long(x: np.ndarray) -> np.ndarray:
@@ -59,30 +60,46 @@ def _batches(texts: pd.Series, step: int = 512):
         yield lo, shingle_sets(values[lo: lo + step])
 
 
-def _describe(batches):
+def _describe(counters: int):
     """Per document its set's size and digest; at the end of a task, its sketch counters."""
-    seen = np.zeros(1 << SKETCH_BITS, np.uint32)
-    empty = None
-    for pdf in batches:
-        n, digest = [], []
-        for _, sets in _batches(pdf["text"]):
-            for s in sets:
-                n.append(len(s))
-                digest.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-            for x in sets:
-                np.add.at(seen, _slot(x), 1)
-        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "row": pdf["row"].to_numpy(), "n": n, "cls": digest, "part": empty, "counts": empty})
-    for p, part in enumerate(np.split(seen, _SKETCH_PARTS)):
-        if part.any():
-            yield pd.DataFrame({"id": [empty], "row": [empty], "n": [empty], "cls": [empty], "part": [p],
-                                "counts": [zlib.compress(part.astype("<u4").tobytes(), 1)]})
+    def run(batches):
+        seen = np.zeros(counters, np.uint32)
+        task, empty = TaskContext.get().partitionId(), None
+        for pdf in batches:
+            n, digest = [], []
+            for _, sets in _batches(pdf["text"]):
+                for s in sets:
+                    n.append(len(s))
+                    digest.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
+                for x in sets:
+                    np.add.at(seen, _slot(x, counters), 1)
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "row": pdf["row"].to_numpy(), "row2": pdf["row2"].to_numpy(),
+                                "n": n, "cls": digest, "part": empty, "task": empty, "counts": empty})
+        for p, part in enumerate(np.split(seen, _SKETCH_PARTS)):
+            if part.any():
+                yield pd.DataFrame({"id": [empty], "row": [empty], "row2": [empty], "n": [empty], "cls": [empty], "part": [p], "task": [task],
+                                    "counts": [zlib.compress(part.astype("<u8").tobytes(), 1)]})
+    return run
 
 
 def _sum_parts(key, pdf):
-    total = np.zeros((1 << SKETCH_BITS) // _SKETCH_PARTS, np.uint64)
+    total = 0
     for c in pdf["counts"]:
-        total += np.frombuffer(zlib.decompress(c), "<u4")
-    return pd.DataFrame({"part": [key[0]], "counts": [zlib.compress(total.astype("<u8").tobytes(), 1)]})
+        total = total + np.frombuffer(zlib.decompress(c), "<u8")
+    return pd.DataFrame({"part": [key[0]], "task": [key[1]], "counts": [zlib.compress(total.astype("<u8").tobytes(), 1)]})
+
+
+def _sketch(parts: DataFrame, counters: int) -> np.ndarray:
+    """All tasks' counters added up: ``_SUMMED`` tasks' slices at a time, then of these sums as many again."""
+    tasks = (parts.agg(F.max("task")).first()[0] or 0) + 1
+    while tasks > 1:
+        parts = parts.groupBy("part", F.expr(f"cast(task div {_SUMMED} as int)").alias("task")).applyInPandas(_sum_parts, "part int, task int, counts binary")
+        tasks = -(-tasks // _SUMMED)
+    counts = np.zeros(counters, np.uint32)
+    width = counters // _SKETCH_PARTS
+    for r in parts.collect():  # a sketch of bounded size, not one entry per document
+        counts[r["part"] * width: (r["part"] + 1) * width] = np.minimum(np.frombuffer(zlib.decompress(r["counts"]), "<u8"), 0xFFFFFFFF)
+    return counts
 
 
 def _postings(sketch, cell_rows: int):
@@ -105,7 +122,7 @@ def _postings(sketch, cell_rows: int):
                     if (cls, len(s)) in done:
                         continue
                     done.add((cls, len(s)))
-                    c = counts[_slot(s)]
+                    c = counts[_slot(s, len(counts))]
                     order = np.lexsort((s, c))[: short_lists(len(s))]
                     late = np.arange(len(order)) > len(s) - required_overlap(len(s), len(s))
                     cells = 1 + np.maximum(c[order] - mean, 0).astype(np.int64) // cell_rows
@@ -166,9 +183,9 @@ def _lists(batches):
         alive = ~wait & (first["late"] == 0)
         pairs = pairs_of(x, run, alive & ~long_)
         rows = pd.DataFrame({"shingle": x["shingle"], "cell": x["cell"], "cls": x["cls"], "n": x["n"], "at": x["at"],
-                             "c_cls": first["cls"], "c_n": first["n"], "c_at": first["at"]})[~wait & long_ & (alive | (x["cell"] > 0))]
-        return pd.concat([rows.astype({"shingle": "Int64", "cell": "Int32", "at": "Int32", "c_at": "Int32"}), pairs])[
-            ["shingle", "cell", "cls", "n", "at", "c_cls", "c_n", "c_at"]]
+                             "late": x["late"], "c_cls": first["cls"], "c_n": first["n"], "c_at": first["at"]})[~wait & long_ & (alive | (x["cell"] > 0))]
+        return pd.concat([rows.astype({"shingle": "Int64", "cell": "Int32", "at": "Int32", "late": "Int8", "c_at": "Int32"}), pairs])[
+            ["shingle", "cell", "cls", "n", "at", "late", "c_cls", "c_n", "c_at"]]
 
     for pdf in batches:
         if len(pdf):
@@ -381,6 +398,17 @@ def _per_row(rows: DataFrame, by_class: DataFrame, key: str, *more) -> DataFrame
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *more))
 
 
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.xxhash64(F.lit(1), F.col(key), F.col(text)).alias("row2"),
+                       F.col(text).alias("text"))
+
+
+def representatives(rows: DataFrame) -> DataFrame:
+    """(cls, n, row, row2) of one row of each class of ``rows``."""
+    return (rows.where("n > 0").groupBy("cls", "n").agg(F.min(F.struct("row", "row2")).alias("rep"))
+            .select("cls", "n", "rep.row", "rep.row2"))
+
+
 def classes_of(rows: DataFrame, components: DataFrame) -> DataFrame:
     """(node, component, least_id, copies) of the classes of ``rows`` (id, n, cls)."""
     return (rows.where("n > 0").groupBy(F.struct("cls", F.col("n").cast("int").alias("n")).alias("node"))
@@ -407,26 +435,24 @@ def connectivity(spark: SparkSession, docs: DataFrame, key: str, text: str, cell
     2. Classes of one longer list that round 1 left in different components are
        compared; the list's main component is not compared with itself. So large groups of copies cost
        about one check per member instead of one per pair, and every pair that could still
-       join two components is checked.
+       join two components is checked. The smaller set of a linked pair is never late in the list of
+       the first shingle they share, so late rows only meet smaller ones that are not: a passage that
+       many otherwise different documents hold, late in all of them, gives no pair at all.
 
     Candidates must pass the size bound and the position bound (what is left after the
     shared shingle must reach T); the check itself counts the overlap of the full sets.
     """
-    base = docs.select(F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
+    base = _texts(docs, key, text)
+    low, high = SKETCH_BITS
+    counters = 1 << max(low, min(high, (8 * docs.count()).bit_length()))
     described = stored(spark, base.mapInPandas(
-        _describe, f"id {docs.schema[key].dataType.simpleString()}, row long, n long, cls long, part int, counts binary"), "shingle-sizes")
-    parts = (described.where("part is not null").groupBy("part")
-             .applyInPandas(_sum_parts, "part int, counts binary").collect())
-    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-    width = len(counts) // _SKETCH_PARTS
-    for r in parts:  # a sketch of fixed size, not one entry per document
-        counts[r["part"] * width: (r["part"] + 1) * width] = np.minimum(np.frombuffer(zlib.decompress(r["counts"]), "<u8"), 0xFFFFFFFF)
-    sketch = spark.sparkContext.broadcast(counts)
-    rows = described.where("part is null").select("id", "row", "n", "cls")
+        _describe(counters), f"id {docs.schema[key].dataType.simpleString()}, row long, row2 long, n long, cls long, part int, task int, counts binary"), "shingle-sizes")
+    sketch = spark.sparkContext.broadcast(_sketch(described.where("part is not null").select("part", "task", "counts"), counters))
+    rows = described.where("part is null").select("id", "row", "row2", "n", "cls")
 
     postings = base.mapInPandas(_postings(sketch, cell_rows), "shingle long, cell int, cls long, n int, at int, late byte")
     offered = stored(spark, postings.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "late", "at", "cls")
-                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, c_cls long, c_n int, c_at int"), "list-pairs")
+                   .mapInPandas(_lists, "shingle long, cell int, cls long, n int, at int, late byte, c_cls long, c_n int, c_at int"), "list-pairs")
     lists = offered.where("shingle is not null")
     centres = lists.where("cell > 0 and cls = c_cls and n = c_n").select("shingle", "at", "cls", "n")
     tops = centres.groupBy("shingle").agg(F.min(F.struct("at", "cls", "n")).alias("top"))
@@ -435,22 +461,27 @@ def connectivity(spark: SparkSession, docs: DataFrame, key: str, text: str, cell
     stars = starred.where(_possible("n", "c_n", "at", "c_at")).select("cls", "n", "c_cls", "c_n")
     short = offered.where("shingle is null").select("cls", "n", "c_cls", "c_n")
     stars = _as_pairs(stars.union(short), _node("cls", "n"), _node("c_cls", "c_n"))
-    reps = rows.where("n > 0").groupBy("cls", "n").agg(F.min("row").alias("row"))
+    reps = representatives(rows)
 
     checked = stored(spark, stars, "candidates")
     links = stored(spark, _check(spark, checked, reps, base), "links")
     first = connected_components(spark, _edges(links))
 
     # round 2: lists with classes of several components
-    placed = (lists.select("shingle", "cls", "n", "at").distinct().withColumn("node", _node("cls", "n"))
+    placed = (lists.select("shingle", "cls", "n", "at", "late").distinct().withColumn("node", _node("cls", "n"))
               .join(first, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    sizes = placed.groupBy("shingle", "component").agg(F.count("*").alias("size"))
-    mains = (sizes.groupBy("shingle").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
-             .where("parts > 1").select("shingle", F.col("top.component").alias("main")))
+    sizes = placed.groupBy("shingle", "component").agg(F.count("*").alias("size"), F.count_if(F.col("late") == 0).alias("early"))
+    mains = (sizes.groupBy("shingle").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"),
+                                          F.sum("size").alias("all"), F.sum("early").alias("early")).where("parts > 1 and early > 0")
+             .select("shingle", F.col("top.component").alias("main"), F.ceil(F.col("all") / cell_rows).cast("int").alias("cells")))
     mixed = stored(spark, placed.join(mains, "shingle").withColumn("in_main", F.col("component") == F.col("main")).drop("main"), "mixed-lists")
-    x = mixed.where("not in_main").select("shingle", *[F.col(c).alias("x_" + c) for c in ("node", "n", "at", "component")])
-    y = mixed.select("shingle", *[F.col(c).alias("y_" + c) for c in ("node", "n", "at", "component", "in_main")])
-    near = (x.join(y, "shingle").where("x_component <> y_component and (y_in_main or x_node < y_node)")
+    # a row meets the list cell by cell, so a long list is not one key
+    y = mixed.select("shingle", F.pmod(F.xxhash64("cls", "n"), "cells").cast("int").alias("part"), *[F.col(c).alias("y_" + c) for c in ("node", "n", "at", "late", "component", "in_main")])
+    x = mixed.where("late = 0").select("shingle", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("part"),
+                                       *[F.col(c).alias("x_" + c) for c in ("node", "n", "at", "component", "in_main")])
+    met = (x.where("not x_in_main").join(y, ["shingle", "part"])
+           .unionByName(x.where("x_in_main").join(y.where("not y_in_main"), ["shingle", "part"])))
+    near = (met.where("x_component <> y_component and (x_n < y_n or (x_n = y_n and y_late = 0 and x_node < y_node))")
             .where(_possible("x_n", "y_n", "x_at", "y_at")))
     rest = stored(spark, _as_pairs(near, F.col("x_node"), F.col("y_node")).join(checked, checked.columns, "left_anti"), "candidates")
     links = stored(spark, links.union(_check(spark, rest, reps, base)), "links")
@@ -488,27 +519,13 @@ def _check(spark: SparkSession, pairs: DataFrame, reps: DataFrame, base: DataFra
 def _with_texts(spark: SparkSession, members: DataFrame, base: DataFrame) -> DataFrame:
     """``members`` (stored, with ``row``) with their texts.
 
-    ``row`` is a hash of key and text, so it is the same in every scan, and repeated rows
-    count once. A bitmap of fixed size over these first passes over the texts that are not
-    wanted, so that the join shuffles few of them; what it lets through by accident
-    (all texts, once it is full) the join itself drops.
+    A row is known by 128 bits of hashes of key and text, the same in every scan, and repeated
+    rows count once. The scan leaves out most texts that are not wanted (``maybe_in``), so the
+    join shuffles few of them.
     """
-    slot = F.pmod("row", F.lit(1 << FILTER_BITS))
-    parts = (members.groupBy(F.bitmap_bucket_number(slot + 1).alias("part"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")).collect())
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    for r in parts:  # fixed size, whatever the number of classes
-        some = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little")
-        bits[np.flatnonzero(some) + (r["part"] - 1) * len(some)] = True
-    wanted = spark.sparkContext.broadcast(np.packbits(bits))
-
-    @F.pandas_udf("boolean")
-    def may_be_wanted(slots: pd.Series) -> pd.Series:
-        s = slots.to_numpy()
-        return pd.Series((wanted.value[s >> 3] >> (7 - (s & 7))) & 1 == 1)
-
-    texts = base.select("row", "text").withColumn("wanted", may_be_wanted(slot)).where("wanted").groupBy("row").agg(F.max("text").alias("text"))
-    return members.join(texts, "row")
+    may_be_wanted = maybe_in(spark, members, "row")
+    texts = base.select("row", "row2", "text").where(may_be_wanted(F.col("row"))).groupBy("row", "row2").agg(F.max("text").alias("text"))
+    return members.join(texts, ["row", "row2"])
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
