@@ -2,8 +2,7 @@
 
 Every analyzer is a plain ``Column -> Column`` function returning
 ``array<string>``, so it stays inside whole-stage codegen and composes with
-``make_analyzer``. Only the English stemmer (``quarry.functions.stem``) needs
-Python, and it runs on the distinct vocabulary, not per token.
+``make_analyzer``; so does the English stemmer (``quarry.functions.stem``).
 """
 
 from __future__ import annotations

@@ -53,10 +53,16 @@ def match(c: Column | str, text: str, analyzer: Analyzer = text_tokens,
     cheap ``contains`` test runs first and the regex split only runs on rows
     that can match. The query tokens are a constant expression, folded once by
     Catalyst. An analyzer that Catalyst cannot fold has ``query_tokens(text)``, and may
-    have ``common_part(token)``: a substring of every word that gives this token.
+    have ``common_part(token)``: a substring of every word that gives this token, and
+    ``restricted(column, tokens)``: what it gives of the words that may give one of these tokens.
     """
-    doc_tokens = tokens if tokens is not None else analyzer(_c(c))
     q = _literal_tokens(text, analyzer)
+    if tokens is not None:
+        doc_tokens = tokens
+    elif hasattr(analyzer, "restricted") and isinstance(text, str):
+        doc_tokens = analyzer.restricted(_c(c), analyzer.query_tokens(text))
+    else:
+        doc_tokens = analyzer(_c(c))
     if operator == "and":
         test = (F.size(q) > 0) & (F.size(F.array_except(q, doc_tokens)) == 0)
     else:

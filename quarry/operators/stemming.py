@@ -1,23 +1,21 @@
 """English stemming analyzer (T2): default tokens without stop words, as Porter stems.
 
 It is an ordinary ``Analyzer`` (``Column -> Column``), so ``match``, ``bool_query``,
-``with_token_field`` and ``ranked_page`` take it. Tokens and stop words are JVM expressions;
-only the stems are made in Python, in Arrow batches with a word cache, without a shuffle.
+``with_token_field`` and ``ranked_page`` take it. Tokens, stop words and stems are JVM expressions;
+a search stems only the tokens that begin like the stems it looks for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions.analysis import analyze_literal, text_tokens
 from quarry.functions.predicates import match
-from quarry.functions.stem import porter_stem
+from quarry.functions.stem import porter_stem, stem_tokens
 
 
 def english_stop_words() -> list[str]:
@@ -25,11 +23,6 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stems(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda ts: None if ts is None else [porter_stem(t) for t in ts])
-
-
 class EnglishAnalyzer:
     """Stems of the tokens that are not stop words; null stays null.
 
@@ -44,7 +37,12 @@ class EnglishAnalyzer:
         return F.filter(text_tokens(c), lambda t: ~t.isin(stops)) if stops else text_tokens(c)
 
     def __call__(self, c: Column | str) -> Column:
-        return _stems(self._kept(c))
+        return stem_tokens(self._kept(c))
+
+    def restricted(self, c: Column | str, stems: Sequence[str]) -> Column:
+        """The stems of those tokens only that may have one of ``stems``."""
+        starts = [self.common_part(x) for x in dict.fromkeys(stems)]
+        return stem_tokens(F.filter(self._kept(c), lambda t: F.exists(F.array(*[F.lit(x) for x in starts]).cast("array<string>"), t.startswith)))
 
     def query_tokens(self, text: str) -> list[str]:
         """The analyzed query text, known when the plan is made."""
@@ -52,8 +50,8 @@ class EnglishAnalyzer:
 
     @staticmethod
     def common_part(token: str) -> str:
-        """What every word with this stem contains: the rules change a stem's last two letters at most."""
-        return token[:-2]
+        """What every word with this stem begins with: the rules change a stem's last letter at most, to i, e or l."""
+        return token[:-1] if token[-1:] in ("i", "e", "l") else token
 
 
 english_analyzer = EnglishAnalyzer()

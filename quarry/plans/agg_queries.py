@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.functions.project import bucket_line
-from quarry.operators.aggs import (cardinality, count_rows, date_histogram, nested_buckets, stats_metric,
-                                   terms_agg, top_terms_histogram)
+from quarry.operators.aggs import (cardinality, count_rows, date_histogram, distinct_sketches, nested_buckets,
+                                   roll_up_distinct, stats_metric, terms_agg, top_terms_histogram)
 from quarry.functions.predicates import term
 from quarry.plans.common import load
+from quarry.session import scratch_dir
 
 
 def top_terms_stats(spark, d):
@@ -71,6 +74,16 @@ def cardinality_error(spark, d):
     return both.select("parts", (F.abs(F.col("approx") - F.col("parts")) <= 3 * 0.05 * F.col("parts")).alias("close"))
 
 
+def distinct_by_year_from_months(spark, d):
+    """Customers per year, from stored sketches per priority and month: within four standard errors of the exact count."""
+    orders = load(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderpriority", "o_custkey")
+    path = scratch_dir(spark, f"sketches-{uuid.uuid4().hex}")
+    distinct_sketches(orders, ["year", "month", "o_orderpriority"], "o_custkey").write.parquet(path)
+    rolled = roll_up_distinct(spark.read.parquet(path), ["year"], count="estimate")
+    exact = orders.groupBy("year").agg(F.count_distinct("o_custkey").alias("customers"))
+    return rolled.join(exact, "year").select("year", "customers", (F.abs(F.col("estimate") - F.col("customers")) <= 0.066 * F.col("customers") + 1).alias("close"))
+
+
 def table_count(spark, d):
     return count_rows(load(spark, d, "orders"))
 
@@ -87,6 +100,7 @@ def bucket_lines(spark, d):
 
 
 QUERIES = {
+    "distinct_by_year_from_months": distinct_by_year_from_months,
     "top_terms_stats": top_terms_stats,
     "terms_multi_metric": terms_multi_metric,
     "cardinality_approx": cardinality_approx,
@@ -116,6 +130,9 @@ _UNDATED = _HIST.format(
              FROM orders WHERE o_custkey IN ({_TOP}))""")
 
 ORACLE = {
+    "distinct_by_year_from_months": """
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS customers, true AS close
+        FROM orders GROUP BY 1""",
     "terms_by_month_undated": _UNDATED,
     "nested_bucket_metrics": f"""
         WITH h AS ({_UNDATED}),

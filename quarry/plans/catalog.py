@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from quarry.plans import agg_queries, ingest_queries, search_queries
+from quarry.plans import agg_queries, ingest_queries, search_queries, source_queries
 
 
 def _modules():
-    return [search_queries, agg_queries, ingest_queries]
+    return [search_queries, agg_queries, ingest_queries, source_queries]
 
 
 def queries() -> dict:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.postings import doc_lengths, postings, write_postings
+from quarry.operators.postings import doc_lengths, postings, write_impacts, write_postings
 from quarry.session import scratch_dir
 
 # Oracle SQL fragment: the default text analyzer written for DuckDB.
@@ -48,7 +48,13 @@ def files_state(df: DataFrame) -> tuple:
 
 
 def text_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Stored postings and length tables of ``documents.text``.
+    """Stored postings and length tables of ``documents.text``."""
+    path = text_index_path(spark, sf_dir)
+    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths")
+
+
+def text_index_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the index of ``documents.text`` is: ``postings``, ``lengths`` and, for first pages, ``impacts``.
 
     Written once per application and state of the table's files, below the shared checkpoint folder;
     later queries read the files with the token filter pushed down. A table that was
@@ -61,6 +67,7 @@ def text_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         write_postings(postings(docs, "doc_id", "text"), f"{path}/postings",
                        int(spark.conf.get("spark.sql.shuffle.partitions")))
         doc_lengths(docs, "doc_id", "text").write.parquet(f"{path}/lengths")
+        write_impacts(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"), f"{path}/impacts",
+                      int(spark.conf.get("spark.sql.shuffle.partitions")))
         _text_indexes[known] = path
-    path = _text_indexes[known]
-    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths")
+    return _text_indexes[known]

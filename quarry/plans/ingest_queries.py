@@ -97,10 +97,15 @@ PART_TYPES = {"p_partkey": "INT", "p_name": "STRING", "p_brand": "CAT", "p_type"
               "p_size": "INT", "p_retailprice": "DOUBLE"}
 
 
-def csv_typed_load(spark, d):
+def part_lines(spark, d):
+    """The part table as delimited files with a type line."""
     path = scratch_dir(spark, f"csv-{uuid.uuid4().hex}")
     write_typed_delimited(load(spark, d, "part"), path, PART_TYPES)
-    return load_typed_delimited(spark, path).rows
+    return path
+
+
+def csv_typed_load(spark, d):
+    return load_typed_delimited(spark, part_lines(spark, d)).rows
 
 
 def multi_table_scan(spark, d):

@@ -12,23 +12,59 @@ from quarry.functions.project import (first_line, first_present, format_day, fro
                                       keys_of, parse_date, pluck, record, subject)
 from quarry.operators.aggs import terms_agg
 from quarry.functions.analysis import analyze_literal
-from quarry.operators.postings import bm25_postings, match_postings, postings
+from quarry.functions.sql import register_sql_functions
+from quarry.operators.postings import bm25_postings, match_postings, postings, top_page
 from quarry.operators.search import Clause, page, ranked_page, search
 from quarry.operators.stemming import english_analyzer
-from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_index
+from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_index, text_index_path
 
 SEARCH_WORD = "heti"
 TOK = sql_tokens("text")
 
 
 def match_not_term(spark, d):
-    """Flagship: the best documents saying the word that are not from one source."""
-    docs = load(spark, d, "documents")
+    """Flagship: the best documents saying the word that are not from one source, from the stored index."""
+    docs = load(spark, d, "documents").select("doc_id", "source", "text")
+    best = top_page(spark, f"{text_index_path(spark, d)}/impacts", analyze_literal(spark, SEARCH_WORD), digits=6, docs=docs, keep=not_(term("source", "src2")))
+    return best.select("doc_id", "source", first_line("text").alias("subject"))
+
+
+def ranked_not_term(spark, d):
+    """The flagship by a scan of the texts, with the statistics of the same run."""
+    docs = load(spark, d, "documents", spread_on="doc_id")
     best = ranked_page(docs, [Clause("text", SEARCH_WORD)], "doc_id", must_not=[term("source", "src2")],
                        select=["source", first_line("text").alias("subject")], digits=6)
     return best.select("doc_id", "source", "subject")
 
 
+def bm25_pruned_top10(spark, d):
+    """Two words, one of them frequent: the best ten read from the tops of their posting lists."""
+    return top_page(spark, f"{text_index_path(spark, d)}/impacts", analyze_literal(spark, "the heti"), digits=6)
+
+
+def sql_fulltext_page(spark, d):
+    """The flagship as one SQL text, with analyzers and match as SQL functions."""
+    register_sql_functions(spark)
+    load(spark, d, "documents", spread_on="doc_id").createOrReplaceTempView("quarry_documents")
+    return spark.sql(f"""
+        WITH t AS (SELECT doc_id, source, text, text_tokens(text) AS tokens FROM quarry_documents),
+        s AS (SELECT count(tokens) AS n, avg(size(tokens)) AS avgdl, count_if(array_contains(tokens, '{SEARCH_WORD}')) AS df FROM t),
+        c AS (SELECT *, (SELECT struct(n, avgdl, df) FROM s) AS corpus FROM t),
+        h AS (SELECT doc_id, source, split_part(text, '\\n', 1) AS subject,
+                     round(bm25(token_count(tokens, '{SEARCH_WORD}'), size(tokens), corpus), 6) AS score
+              FROM c WHERE matches(text, '{SEARCH_WORD}') AND source IS DISTINCT FROM 'src2')
+        SELECT doc_id, source, subject FROM h ORDER BY score DESC, doc_id LIMIT 10""")
+
+
+def sql_token_rows(spark, d):
+    """Token rows of a table function, joined laterally and counted, in SQL."""
+    register_sql_functions(spark)
+    load(spark, d, "part").createOrReplaceTempView("quarry_part")
+    return spark.sql("""
+        SELECT token, count(*) AS n, min(position) AS first_position
+        FROM quarry_part, LATERAL tokens_of(p_name) GROUP BY token""")
+
+
 def filtered_top10(spark, d):
     """Two words, one of them given twice, within one source that takes no part in scoring."""
     docs = load(spark, d, "documents")
@@ -216,6 +252,10 @@ QUERIES = {
     "any_field_nested": any_field_nested,
     "projected_fields": projected_fields,
     "match_not_term": match_not_term,
+    "ranked_not_term": ranked_not_term,
+    "bm25_pruned_top10": bm25_pruned_top10,
+    "sql_fulltext_page": sql_fulltext_page,
+    "sql_token_rows": sql_token_rows,
     "scan_all_matches": scan_all_matches,
     "keyword_and_text_forms": keyword_and_text_forms,
     "match_any_word": match_any_word,
@@ -370,3 +410,9 @@ ORACLE: dict = {
 }
 
 ORACLE["bm25_postings_top10"] = ORACLE["bm25_top10"]
+ORACLE["ranked_not_term"] = ORACLE["sql_fulltext_page"] = ORACLE["match_not_term"]
+ORACLE["bm25_pruned_top10"] = _bm25_sql(["the", "heti"], "doc_id", "true")
+ORACLE["sql_token_rows"] = f"""
+    SELECT token, count(*) AS n, min(position) AS first_position FROM (
+        SELECT unnest(t) AS token, CAST(unnest(generate_series(0, len(t) - 1)) AS INTEGER) AS position FROM (SELECT {_P_NAME} AS t FROM part))
+    GROUP BY token"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -73,12 +72,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    sep = "" if base.endswith("/") else "/"
-    path = f"{base}{sep}{name}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A path below the shared checkpoint folder for written intermediate tables; whoever writes there makes it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"

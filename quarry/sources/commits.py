@@ -8,13 +8,18 @@ stats map).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.analysis import analyze_array, file_path_analyzer, text_tokens
 from quarry.operators.stemming import english_analyzer
 from quarry.functions.project import from_epoch_seconds, keys_of, pluck, record, subject
+from quarry.operators.ingest import create_table
+from quarry.sources.tables import scan_tables
 
 PERSON = T.StructType([T.StructField("name", T.StringType()), T.StructField("email", T.StringType())])
 STATS = T.StructType([T.StructField(n, T.LongType()) for n in ("insertions", "deletions", "lines", "files")])
@@ -94,6 +99,32 @@ def with_computed_columns(df: DataFrame) -> DataFrame:
     return df.withColumn("subject", subject("description"))
 
 
+@dataclass
+class EntityTable:
+    """An entity class over the tables of a name pattern (S11): its declared columns and its computed ones.
+
+    Rows have ``_id``, ``_index`` (the table a row is from), the declared columns, null where a
+    table lacks one, and the computed columns, which are expressions over the declared ones.
+    """
+
+    pattern: str
+    schema: T.StructType
+    computed: dict[str, Callable[[], Column]] = field(default_factory=lambda: {"subject": lambda: subject("description")})
+    id_column: str = "_id"
+
+    def init(self, spark: SparkSession, path: str) -> None:
+        """Create one table of the class, if it is not there."""
+        create_table(spark, path, T.StructType([T.StructField(self.id_column, T.StringType()), *self.schema.fields]))
+
+    def search(self, spark: SparkSession, base: str | None = None, database: str | None = None, where: Column | None = None) -> DataFrame:
+        """The rows of all tables that match the pattern, below a path or in the catalog; ``where`` sees the tables' own columns."""
+        rows = scan_tables(spark, self.pattern, base, database)
+        rows = rows if where is None else rows.where(where)
+        declared = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        own = rows.select(F.col(self.id_column).cast("string").alias("_id"), "_index", *declared)
+        return own.select("*", *[made().alias(name) for name, made in self.computed.items()])
+
+
 def commit_edges(commits: DataFrame) -> DataFrame:
     """Commit graph edges child -> parent (one row per parent)."""
     return commits.select(F.col("_id").alias("child"), F.explode("parent_shas").alias("parent"))
