@@ -38,15 +38,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     taken = [c for c in docs.columns if c.startswith("__")]
     if taken:
         raise ValueError(f"reserved column names: {taken}")
-    norm = normalised(F.col(text))
-    length, prefix = F.length(norm), F.xxhash64(F.substring(norm, 1, prefix_chars))
+    norm, raw = normalised(F.col(text)), F.xxhash64(F.col(text))
     base = docs.drop("keep_id", "group_size", "kept")
-    shapes = stored(spark, base.select(length.alias("__len"), prefix.alias("__prefix")).groupBy("__len", "__prefix")
-                    .agg(F.count("*").alias("n")), "length-and-prefix")
+    shapes = stored(spark, base.select(F.length(norm).alias("__len"), F.xxhash64(F.substring(norm, 1, prefix_chars)).alias("__prefix"), raw.alias("__raw"))
+                    .groupBy("__len", "__prefix", "__raw").agg(F.count("*").alias("n")), "length-and-prefix")
     lengths = shapes.groupBy("__len").agg(F.sum("n").alias("all")).where("all > 1").select("__len")
-    heads = stored(spark, shapes.where("n > 1").join(lengths, "__len", "left_semi")
-                   .select(F.xxhash64("__len", "__prefix").alias("pair")), "open-pairs")
-    open_ = maybe_in(spark, heads, "pair")(F.xxhash64(length, prefix))
+    pairs = (shapes.join(lengths, "__len", "left_semi").groupBy("__len", "__prefix").agg(F.sum("n").alias("all"))
+             .where("all > 1").select("__len", "__prefix"))
+    heads = stored(spark, shapes.join(pairs, ["__len", "__prefix"], "left_semi").select(F.col("__raw").alias("raw")), "open-texts")
+    open_ = maybe_in(spark, heads, "raw")(raw)
     left = base.withColumn("__open", open_)
     again = left.where("__open").withColumn("__full", F.sha2(norm, 256)).drop("__open")
 

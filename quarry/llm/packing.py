@@ -15,6 +15,8 @@ from quarry.llm.common import stored, table
 
 CAPACITY = 2048
 END_ID = 0
+#: Pieces of one length that one window ranks, about.
+CELL_PIECES = 100_000
 #: Words whose ids a Python worker remembers before it drops the rare ones (bounds its memory).
 CACHED_WORDS = 1_000_000
 
@@ -285,13 +287,15 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[int
 
 
 def assign_sequences(spark: SparkSession, pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY,
-                     cells: int = 256) -> DataFrame:
+                     cells: int | None = None) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     Only the counts by length (at most ``capacity`` rows) reach the driver. A piece's rank
     within its length is its rank in one of ``cells`` hash cells plus the cell's start, so a
-    length that many pieces share is no single window.
+    length that many pieces share is no single window: one cell per ``CELL_PIECES`` pieces of
+    the whole table, 256 at least, whatever their lengths. ``pieces`` is a stored table.
     """
+    cells = cells or max(256, pieces.count() // CELL_PIECES)
     spread = pieces.withColumn("__cell", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(cells)).cast("int"))
     sums = spread.groupBy("length", "__cell").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}
