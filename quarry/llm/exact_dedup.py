@@ -19,8 +19,9 @@ def normalised(text: Column) -> Column:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-                prefix_chars: int = 128) -> DataFrame:
-    """Every row of ``docs`` with ``keep_id``, ``group_size`` and ``kept``.
+                prefix_chars: int = 128, digest: str | None = None) -> DataFrame:
+    """Every row of ``docs`` with ``keep_id``, ``group_size`` and ``kept``, and, if a name for it is
+    given, the full hash of every row's normalised text as column ``digest``.
 
     Rows are equal when their normalised texts are. Lengths that occur once, then
     (length, prefix hash) pairs that occur once, settle their rows; only the rest have
@@ -39,7 +40,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     if taken:
         raise ValueError(f"reserved column names: {taken}")
     norm, raw = normalised(F.col(text)), F.xxhash64(F.col(text))
-    base = docs.drop("keep_id", "group_size", "kept")
+    base = docs.drop("keep_id", "group_size", "kept", *([digest] if digest else []))
     shapes = stored(spark, base.select(F.length(norm).alias("__len"), F.xxhash64(F.substring(norm, 1, prefix_chars)).alias("__prefix"), raw.alias("__raw"))
                     .groupBy("__len", "__prefix", "__raw").agg(F.count("*").alias("n")), "length-and-prefix")
     lengths = shapes.groupBy("__len").agg(F.sum("n").alias("all")).where("all > 1").select("__len")
@@ -64,18 +65,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     pick = F.row_number().over(Window.partitionBy("__full", F.when(F.col("__one"), F.lit(-1)).otherwise(F.col("__part"))).orderBy("__part"))
     same = same.withColumn("kept", F.col("__one") & (pick == 1))
 
-    def result(rows, keep, size):
-        return rows.select(*base.columns, keep.alias("keep_id"), size.cast("long").alias("group_size"), "kept")
-    size = F.col("__n")
-    return (result(left.where("not __open").withColumn("kept", F.lit(True)), F.col(key), F.lit(1))
-            .union(result(decided.where(~(repeats & is_first)).withColumn("kept", is_first), F.col("__first.key"), size))
-            .union(result(same, F.col("__first.key"), size)))
+    def result(rows, keep, size, full):
+        named = [full.alias(digest)] if digest else []
+        return rows.select(*base.columns, keep.alias("keep_id"), size.cast("long").alias("group_size"), "kept", *named)
+    size, full = F.col("__n"), F.col("__full")
+    return (result(left.where("not __open").withColumn("kept", F.lit(True)), F.col(key), F.lit(1), F.sha2(norm, 256))
+            .union(result(decided.where(~(repeats & is_first)).withColumn("kept", is_first), F.col("__first.key"), size, full))
+            .union(result(same, F.col("__first.key"), size, full)))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    hashed = docs.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256))
-    return exact_dedup(spark, hashed).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup(spark, docs, digest="text_sha256").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -26,6 +27,14 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Words of Latin letters and a run of ASCII punctuation.
+_LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+# How byte-level models write the two UTF-8 bytes of U+00C0 to U+00FF: 0xC3 as itself, 0xA1 to 0xAC and
+# from 0xAE on too, the other bytes as the characters from U+0100 on, after the 33 control bytes and blanks.
+_SPELT = {c: chr(0xC3) + chr(b if 0xA1 <= b <= 0xAC or b >= 0xAE else 0x100 + (b - 127 + 33 if b <= 0xA0 else 67))
+          for c, b in ((c, c - 0xC0 + 0x80) for c in range(0xC0, 0x100))}
+
+
 class WordIds:
     """Ids of whole texts, put together from the ids of their blank-separated words.
 
@@ -41,6 +50,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.plain = path == default_tokenizer()
+        self.marks: dict[str, list[int]] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -72,18 +82,27 @@ class WordIds:
         self.place = dict(zip(kept, range(len(kept))))
 
     def _encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word. The default tokenizer's rules leave ASCII letters as they are but
-        for their case, and set a full stop or comma apart, so such words go straight to its
-        model; the others go through the whole tokenizer."""
+        """Ids of each word. The default tokenizer's rules change nothing but the case of Latin
+        letters (those of ASCII and U+00C0 to U+00FF), spell each in its bytes, and set a run of ASCII
+        punctuation after them apart; such words go straight to its model, the others through
+        the whole tokenizer."""
         out: list = [None] * len(words)
-        rest = []
+        rest, ids, marks = [], self.model.tokenize, self.marks
         for i, w in enumerate(words):
-            end = w[-1:] if w[-1:] in (".", ",") else ""
-            stem = w[:-1] if end else w
-            if self.plain and stem.isascii() and stem.isalpha():
-                out[i] = [t.id for t in self.model.tokenize(stem.lower())]
+            if not self.plain:
+                rest.append(i)
+            elif w.isascii() and w.isalpha():
+                out[i] = [t.id for t in ids(w.lower())]
+            elif found := _LATIN.fullmatch(w):
+                letters, end = found.groups()
+                letters = letters.lower()
+                out[i] = [t.id for t in ids(letters if letters.isascii() else letters.translate(_SPELT))]
                 if end:
-                    out[i] += [t.id for t in self.model.tokenize(end)]
+                    if end not in marks:
+                        if len(marks) > 4096:
+                            marks.clear()
+                        marks[end] = [t.id for t in ids(end)]
+                    out[i] += marks[end]
             else:
                 rest.append(i)
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):

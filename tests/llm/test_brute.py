@@ -25,6 +25,17 @@ FOREIGN = ["Это русский текст, который модель ник
            "日本語の文章です。これは長い文章です、そして未知の言語です。", "Η ελληνική γλώσσα είναι άγνωστη σε αυτό το μοντέλο"]
 
 
+def test_maybe_in_passes_every_member_and_few_others(spark, tmp_dir):
+    from quarry.llm.common import maybe_in
+    spark.range(0, 3000, 3).select((F.xxhash64("id")).alias("h")).write.parquet(f"{tmp_dir}/m")
+    test = maybe_in(spark, spark.read.parquet(f"{tmp_dir}/m"), "h")
+    got = {r.id for r in spark.range(9000).where(test(F.xxhash64("id"))).collect()}
+    assert got >= set(range(0, 3000, 3)) and len(got) < 2200
+    spark.createDataFrame([], "h long").write.parquet(f"{tmp_dir}/none")
+    nothing = maybe_in(spark, spark.read.parquet(f"{tmp_dir}/none"), "h")
+    assert spark.range(100).where(nothing(F.xxhash64("id"))).count() == 0
+
+
 # op2
 def test_dedup_of_many_repeated_rows(spark):
     rows = [(None, None, "en", "s1")] * 40 + [(3, " a  b", "en", "s1")] * 30 + [(2, " a\tb", "en", "s1")] * 20 + [(9, "c", None, None), (8, "d", None, None)]
@@ -304,6 +315,20 @@ def test_additive_model_equals_naive_fit(monkeypatch):
     assert np.allclose(model.raw(x), raw, atol=1e-9)
 
 
+# op10
+def test_packing_is_the_same_for_any_cells(spark, tmp_dir):
+    spark.createDataFrame([(i, 0, i, 7 + i % 3) for i in range(500)], "doc_id long, piece int, ids_crc32 long, length long").write.parquet(f"{tmp_dir}/p")
+    pieces = spark.read.parquet(f"{tmp_dir}/p")
+    for cells in (None, 1, 7):
+        rooms = collections.defaultdict(list)
+        for r in P.assign_sequences(spark, pieces, capacity=32, cells=cells).collect():
+            rooms[r.sequence_id].append((r.offset, r.length))
+        for v in rooms.values():
+            v.sort()
+            assert v[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(v, v[1:])) and sum(n for _, n in v) <= 32
+        assert len(rooms) == 139 and sum(map(len, rooms.values())) == 500
+
+
 # the pipeline
 def test_run_equals_chained_brute_force(spark, tmp_dir):
     import corpus_pipeline
@@ -342,3 +367,11 @@ def test_run_equals_chained_brute_force(spark, tmp_dir):
             for p, s in enumerate(range(0, len(ids), 2048)):
                 want[i, p, s, len(ids[s:s + 2048]), zlib.crc32(ids[s:s + 2048].tobytes())] += 1
     assert got == want
+
+
+def test_words_that_go_straight_to_the_model_get_the_tokenizers_ids():
+    words = [chr(c) for c in range(0x21, 0x200)] + [a + chr(c) + b for c in range(0xA0, 0x180) for a in ("", "a", "É") for b in ("", "x", "..", "'s", "'")]
+    words += ["don't", "a_b", "a__", "x'", "ß.", "ÆØÅ!!", "İx", "Σς", "naïve—", "9a", "a9", "a-b", "A.B.", "...", "'tis", "it's.", "$$$", "LEÇÈ%%%", "éa"]
+    words = [w for w in words if w and w.strip() == w]
+    ids = P.WordIds(P.default_tokenizer())
+    assert ids._encode(words) == [e.ids for e in ids.tokenizer.encode_batch(words, add_special_tokens=False)]
