@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quarry.llm.common import stored, table
-from quarry.llm.ngram_join import _as_pairs, _check, _edges, _node, _texts, connected_components, representatives
+from quarry.llm.ngram_join import CELL_ROWS, _as_pairs, _check, _edges, _node, _texts, connected_components, representatives
 from quarry.llm.shingles import SIMILARITY_PERCENT, mix64, shingle_sets
 
 PERMUTATIONS = 64
@@ -192,12 +192,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     placed = (members.drop("centre").join(connected_components(spark, _edges(links)), "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     sizes = placed.groupBy("band", "value", "component").agg(F.count("*").alias("size"))
-    mains = (sizes.groupBy("band", "value").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"))
-             .where("parts > 1").select("band", "value", F.col("top.component").alias("main")))
+    mains = (sizes.groupBy("band", "value").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"))
+             .where("parts > 1").select("band", "value", F.col("top.component").alias("main"), F.ceil(F.col("all") / CELL_ROWS).cast("int").alias("cells")))
     mixed = stored(spark, placed.join(mains, ["band", "value"]).withColumn("in_main", F.col("component") == F.col("main")).drop("main"), "mixed-bands")
-    x = mixed.where("not in_main").select("band", "value", F.col("node").alias("x"), F.col("component").alias("x_component"))
-    y = mixed.select("band", "value", F.col("node").alias("y"), F.col("component").alias("y_component"), "in_main")
-    near = (x.join(y, ["band", "value"]).where("x_component <> y_component and (in_main or x < y)").where(sized("x", "y")))
+    # a member meets its band cell by cell, so a long band is not one key
+    x = mixed.where("not in_main").select("band", "value", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("part"),
+                                          F.col("node").alias("x"), F.col("component").alias("x_component"))
+    y = mixed.select("band", "value", F.pmod(F.xxhash64("node"), "cells").cast("int").alias("part"),
+                     F.col("node").alias("y"), F.col("component").alias("y_component"), "in_main")
+    near = (x.join(y, ["band", "value", "part"]).where("x_component <> y_component and (in_main or x < y)").where(sized("x", "y")))
     rest = stored(spark, _as_pairs(near, F.col("x"), F.col("y")).join(checked, checked.columns, "left_anti"), "candidates")
     links = stored(spark, links.union(_check(spark, rest, reps, base)), "links")
 

@@ -51,6 +51,7 @@ class WordIds:
         self.model = self.tokenizer.model
         self.plain = path == default_tokenizer()
         self.marks: dict[str, list[int]] = {}
+        self.most = CACHED_WORDS
         self.clear()
 
     def clear(self) -> None:
@@ -133,8 +134,8 @@ class WordIds:
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = pc.dictionary_encode(split.flatten())
         vocabulary = words.dictionary.to_pylist()
-        if len(self.place) > CACHED_WORDS:
-            self.trim(CACHED_WORDS // 2)
+        if len(self.place) > self.most:
+            self.trim(self.most // 2)
         get = self.place.get
         at = [get(w, -1) for w in vocabulary]
         new = [w for w, i in zip(vocabulary, at) if i < 0]
@@ -177,8 +178,8 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
     """One row per piece: the key, ``piece``, ``start``, ``length``, ``ids_crc32``.
 
     A document's ids are its tokens, then ``end_id``; longer ones are cut every ``capacity``.
-    With ``forget`` a worker remembers no words after a task: less memory where the workers
-    also serve other operators, at the price of encoding the words anew in each task.
+    With ``forget`` a worker remembers no words after a task, and a quarter as many within it: less
+    memory where the workers also serve other operators, at the price of encoding words anew.
     """
     path = tokenizer or default_tokenizer()
     kind = docs.schema[key].dataType
@@ -186,6 +187,7 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
 
     def run(batches):
         encoder = _encoder(path)
+        encoder.most = CACHED_WORDS // 4 if forget else CACHED_WORDS
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for lo, count in _slices(texts):
