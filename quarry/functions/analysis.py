@@ -114,8 +114,11 @@ def url_path(url: Column | str, keep_host: bool = True) -> Column:
 
 
 def analyze_literal(spark, text: str, analyzer: Analyzer = text_tokens) -> list[str]:
-    """Tokens of one query string, computed by the same Spark expression as the data."""
-    row = spark.range(1).select(analyzer(F.lit(text)).alias("t")).first()
+    """Tokens of one query string, computed by the same Spark expression as the data.
+
+    An inline row with a constant expression is folded while the plan is made, so no job runs.
+    """
+    row = spark.sql("VALUES (1)").select(analyzer(F.lit(text)).alias("t")).first()
     return list(row["t"] or [])
 
 

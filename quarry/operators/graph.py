@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_dir
@@ -23,37 +23,42 @@ class _Tables:
         self.spark, self.path, self.count = spark, scratch_dir(spark, f"reach-{uuid.uuid4().hex}"), 0
 
     def written(self, df: DataFrame) -> DataFrame:
+        return self.counted(df, F.lit(True))[0]
+
+    def counted(self, df: DataFrame, what: Column) -> tuple[DataFrame, int]:
+        """The written table, and how many of its rows meet ``what``, counted by the job that writes them."""
         self.count += 1
-        path = f"{self.path}/t{self.count}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        path, seen = f"{self.path}/t{self.count}", Observation()
+        df.observe(seen, F.count_if(what).alias("n")).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get["n"]
 
 
 def _least(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(value).alias(value))
 
 
-def _pointers(tables: _Tables, links: DataFrame, stats: dict) -> list[DataFrame]:
+def _pointers(tables: _Tables, links: DataFrame, stats: dict) -> tuple[list[DataFrame], int]:
     """Pointer jumping over nodes with a single parent.
 
     Round k gives (node, to, dist, open, low): where 2**k steps lead, or fewer if a node that
     has not a single parent comes first (then ``open`` is false). ``low`` is the least node
-    stepped on. There are as many rounds as the longest chain has binary digits.
+    stepped on. There are as many rounds as the longest chain has binary digits. The second
+    result is how many nodes are still open after the last round: those that lead into circles.
     """
     known = links.select(F.col("node").alias("_n"), F.lit(True).alias("_is"))
-    now = tables.written(links.join(known, F.col("to") == F.col("_n"), "left")
-                         .select("node", "to", "dist", F.coalesce("_is", F.lit(False)).alias("open"), F.col("to").alias("low")))
+    now, moving = tables.counted(links.join(known, F.col("to") == F.col("_n"), "left")
+                                 .select("node", "to", "dist", F.coalesce("_is", F.lit(False)).alias("open"), F.col("to").alias("low")), F.col("open"))
     rounds = [now]
     limit = now.count().bit_length() + 1
-    while now.where("open").limit(1).count() and len(rounds) <= limit:
+    while moving and len(rounds) <= limit:
         onward = now.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("dist").alias("_d"),
                             F.col("open").alias("_o"), F.col("low").alias("_l"))
-        moving = now.where("open").join(onward, F.col("to") == F.col("_n")).select(
+        moved = now.where("open").join(onward, F.col("to") == F.col("_n")).select(
             "node", F.col("_to").alias("to"), (F.col("dist") + F.col("_d")).alias("dist"), F.col("_o").alias("open"), F.least("low", "_l").alias("low"))
-        now = tables.written(moving.union(now.where("not open")))
+        now, moving = tables.counted(moved.union(now.where("not open")), F.col("open"))
         rounds.append(now)
         stats["rounds"] += 1
-    return rounds
+    return rounds, moving
 
 
 def _single_parents(edges: DataFrame) -> DataFrame:
@@ -74,12 +79,12 @@ def _contracted(tables: _Tables, edges: DataFrame, starts: DataFrame, stats: dic
     links = tables.written(_single_parents(edges))
     if links.count() * _WORTH <= edges.count():
         return _breadth_first(tables, edges, starts, stats)
-    rounds = _pointers(tables, links, stats)
-    if rounds[-1].where("open").limit(1).count():
+    rounds, circling = _pointers(tables, links, stats)
+    if circling:
         # a circle of single parents: its least node meets itself as the least one, and stays
         knots = rounds[-1].where("open and node = low").select("node")
         links = tables.written(links.join(knots, "node", "left_anti"))
-        rounds = _pointers(tables, links, stats)
+        rounds, _ = _pointers(tables, links, stats)
     ends = rounds[-1].select("node", "to", "dist")
     at = ends.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("dist").alias("_d"))
     kept = edges.join(links.select(F.col("node").alias("a")), "a", "left_anti")
@@ -117,10 +122,10 @@ def _breadth_first(tables: _Tables, edges: DataFrame, starts: DataFrame, stats:
     while True:
         seen = _least(reduce(lambda x, y: x.unionByName(y), pieces), "node", "depth").withColumnRenamed("depth", "_old")
         found = frontier.join(step, frontier["node"] == step["a"]).select(F.col("b").alias("node"), (F.col("depth") + F.col("w")).alias("depth"))
-        frontier = tables.written(_least(found, "node", "depth").join(seen, "node", "left")
-                                  .where("_old is null or depth < _old").select("node", "depth"))
+        frontier, new = tables.counted(_least(found, "node", "depth").join(seen, "node", "left")
+                                       .where("_old is null or depth < _old").select("node", "depth"), F.lit(True))
         stats["rounds"] += 1
-        if frontier.isEmpty():
+        if not new:
             break
         pieces.append(frontier)
         if len(pieces) >= _CONSOLIDATE_EVERY:

@@ -200,13 +200,13 @@ def partial_update(base: DataFrame, updates: DataFrame, key: str, seq: str) -> t
 
 # --- K7-K9: typed load with quarantine --------------------------------------
 
-def typed_load(raw: DataFrame, schema: T.StructType) -> DataFrame:
+def typed_load(raw: DataFrame, schema: T.StructType, raw_columns: Sequence[str] | None = None) -> DataFrame:
     """Coerce string columns to a declared schema, tagging failures (K7/K9).
 
     Each declared column is ``try_cast``; a non-NULL input that gives NULL is
     recorded in ``_errors``. Columns not in ``schema`` pass through unchanged.
-    The result has the typed columns, ``_errors`` and ``_raw`` (the input of
-    failed columns as text) for the quarantine.
+    The result has the typed columns, ``_errors`` and ``_raw`` (the input of all columns, or of
+    ``raw_columns``, as text) for the quarantine.
     """
     declared = {f.name: f.dataType for f in schema.fields}
     typed, bad = [], []
@@ -219,7 +219,7 @@ def typed_load(raw: DataFrame, schema: T.StructType) -> DataFrame:
             typed.append(F.col(c))
     errs = F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad else F.array().cast("array<string>")
     return raw.select(*typed, errs.alias("_errors"),
-                      F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in raw.columns])).alias("_raw"))
+                      F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in (raw_columns or raw.columns)])).alias("_raw"))
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

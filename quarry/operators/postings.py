@@ -131,8 +131,8 @@ class TopPage:
         self.weight = {}
         for t, blocks in self.blocks.items():
             df = sum(n for _, n, _, _ in blocks)
-            self.weight[t] = self.times[t] * spark.range(1).select(
-                F.log(F.lit(1.0) + (F.lit(totals[0]) - df + F.lit(0.5)) / F.lit(df + 0.5))).first()[0] if df else 0.0
+            idf = F.log(F.lit(1.0) + (F.lit(totals[0]) - df + F.lit(0.5)) / F.lit(df + 0.5))
+            self.weight[t] = self.times[t] * spark.sql("VALUES (1)").select(idf).first()[0] if df else 0.0
         self.hits = sum(n for blocks in self.blocks.values() for _, n, _, _ in blocks)
 
     def score_reached_by(self, k: int) -> float:

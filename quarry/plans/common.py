@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarry.operators.postings import doc_lengths, postings, write_impacts, write_postings
-from quarry.session import scratch_dir
+from quarry.session import checkpoint_dir
 
 # Oracle SQL fragment: the default text analyzer written for DuckDB.
 def sql_tokens(expr: str) -> str:
@@ -41,10 +41,15 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_on: str | None = No
 _text_indexes: dict[tuple, str] = {}
 
 
-def files_state(df: DataFrame) -> tuple:
-    """Number of the files that ``df`` reads rows from, and a hash of their paths, lengths and modification times."""
-    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first())
+def files_state(df: DataFrame, path: str) -> tuple:
+    """What tells a table's files from those of another state of it: the path's modification time, the
+    length and number of files below, and a hash of their names. A listing, no look at rows."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    below = system.getContentSummary(root)
+    names = hashlib.sha256("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+    return system.getFileStatus(root).getModificationTime(), below.getLength(), below.getFileCount(), names
 
 
 def text_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -60,9 +65,10 @@ def text_index_path(spark: SparkSession, sf_dir: str) -> str:
     later queries read the files with the token filter pushed down. A table that was
     rewritten or appended to is indexed anew.
     """
-    known = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), files_state(load(spark, sf_dir, "documents")))
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    known = (spark.sparkContext.applicationId, path, files_state(load(spark, sf_dir, "documents"), path))
     if known not in _text_indexes:
-        path = scratch_dir(spark, f"text-index-{uuid.uuid4().hex}")
+        path = f"{checkpoint_dir(spark).rstrip('/')}/text-index-{uuid.uuid4().hex}"  # outlives any scratch space
         docs = load(spark, sf_dir, "documents", spread_on="doc_id")
         write_postings(postings(docs, "doc_id", "text"), f"{path}/postings",
                        int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -17,6 +17,7 @@ from quarry.operators.postings import bm25_postings, match_postings, postings, t
 from quarry.operators.search import Clause, page, ranked_page, search
 from quarry.operators.stemming import english_analyzer
 from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_index, text_index_path
+from quarry.sources.tables import lookup
 
 SEARCH_WORD = "heti"
 TOK = sql_tokens("text")
@@ -227,8 +228,7 @@ def bm25_postings_top10(spark, d):
 
 
 def point_lookup(spark, d):
-    cust = load(spark, d, "customer")
-    return cust.where(F.col("c_custkey") == F.lit(1))
+    return lookup(load(spark, d, "customer"), "c_custkey", 1)
 
 
 def hit_lines(spark, d):

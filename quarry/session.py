@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +73,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Paths handed out inside the ``scratch_space`` blocks that are open, innermost last.
+_spaces: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables; whoever writes there makes it."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    for space in _spaces[-1:]:
+        space.append(path)
+    return path
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that the block's queries wrote once it ends.
+
+    Query results are lazy, so write or collect what is wanted inside the block. Without such a block
+    the tables stay in the checkpoint folder until that is cleaned up.
+    """
+    _spaces.append([])
+    try:
+        yield
+    finally:
+        for name in _spaces.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -224,7 +224,7 @@ def load_typed_delimited(spark: SparkSession, path: str, sep: str = ";",
     schema = schema_from_types(columns, names or ["STRING"] * len(columns))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, names or [])], F.lit(True))
     first = F.col(RECORD) == 1
-    tagged = typed_load(raw.where(~(first & same)), schema)
+    tagged = typed_load(raw.where(~(first & same)), schema, columns)
     errors = (F.when(first, F.array(F.lit("type line"))).when(F.col(MALFORMED).isNotNull(), F.array(F.lit("field count")))
               .otherwise(F.col("_errors")))
     return TypedFrame(tagged.withColumn("_errors", errors).withColumn("_raw", F.coalesce(MALFORMED, "_raw")).drop(MALFORMED, RECORD))
