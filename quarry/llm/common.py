@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable
 
@@ -33,6 +34,14 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that this Python worker has freed to the system: it may idle beside the workers of the next stage."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not a glibc system
+        pass
+
+
 def maybe_in(spark: SparkSession, rows: DataFrame, column: str) -> Callable[[Column], Column]:
     """A test that every value of the long ``column`` of stored ``rows`` passes, and few others.
 

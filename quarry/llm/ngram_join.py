@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import maybe_in, stored, table
+from quarry.llm.common import give_back, maybe_in, stored, table
 from quarry.llm.shingles import SIMILARITY_PERCENT, WORDS, linked, shingle_sets
 
 #: Counters of the document-frequency sketch, as powers of two: 8 a document within these bounds. The
@@ -79,6 +79,7 @@ def _describe(counters: int):
             if part.any():
                 yield pd.DataFrame({"id": [empty], "row": [empty], "row2": [empty], "n": [empty], "cls": [empty], "part": [p], "task": [task],
                                     "counts": [zlib.compress(part.astype("<u8").tobytes(), 1)]})
+        give_back()
     return run
 
 
@@ -131,6 +132,7 @@ def _postings(sketch, cell_rows: int):
                     shingle, cell, cls, n, at, late = (np.concatenate(x) for x in zip(*out))
                     yield pd.DataFrame({"shingle": _as_long(shingle), "cell": cell.astype(np.int32), "cls": cls,
                                         "n": n.astype(np.int32), "at": at.astype(np.int32), "late": late.astype(np.int8)})
+        give_back()
     return run
 
 
@@ -228,6 +230,7 @@ def _verify(batches):
                 common = overlap_divide_skip(x, y, int(required_overlap(len(x), len(y))))
                 ok[lo + i] = common >= 0 and bool(linked(common, len(x), len(y)))
         yield pdf.loc[ok, ["a_cls", "a_n", "b_cls", "b_n"]]
+    give_back()
 
 
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:

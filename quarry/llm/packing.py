@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import stored, table
+from quarry.llm.common import give_back, stored, table
 
 CAPACITY = 2048
 END_ID = 0
@@ -210,6 +210,7 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capac
                 pa.default_memory_pool().release_unused()
         if forget:
             encoder.clear()
+            give_back()
 
     return docs.select(key, text).mapInArrow(run, schema)
 
