@@ -26,11 +26,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written once below the shared checkpoint folder and read back: short lineage
-    that survives lost executors, and no second run of what made it."""
+    that survives lost executors, and no second run of what made it.
+
+    ``batch_rows`` bounds the rows that go to a Python worker at once while it is written:
+    fewer texts are then in memory at a time, in the worker and on their way.
+    """
     path = scratch(spark, name)
-    df.write.parquet(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    if batch_rows:
+        spark.conf.set(setting, str(min(batch_rows, int(before))) if int(before) > 0 else str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

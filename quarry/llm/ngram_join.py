@@ -449,7 +449,7 @@ def connectivity(spark: SparkSession, docs: DataFrame, key: str, text: str, cell
     low, high = SKETCH_BITS
     counters = 1 << max(low, min(high, (8 * docs.count()).bit_length()))
     described = stored(spark, base.mapInPandas(
-        _describe(counters), f"id {docs.schema[key].dataType.simpleString()}, row long, row2 long, n long, cls long, part int, task int, counts binary"), "shingle-sizes")
+        _describe(counters), f"id {docs.schema[key].dataType.simpleString()}, row long, row2 long, n long, cls long, part int, task int, counts binary"), "shingle-sizes", 2048)
     sketch = spark.sparkContext.broadcast(_sketch(described.where("part is not null").select("part", "task", "counts"), counters))
     rows = described.where("part is null").select("id", "row", "row2", "n", "cls")
 

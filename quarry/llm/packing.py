@@ -356,7 +356,7 @@ def best_fit_pack(spark: SparkSession, docs: DataFrame, key: str = "doc_id", tex
     repeated keys are packed like any other; an empty table gives no rows; columns other
     than ``key`` and ``text`` are not carried.
     """
-    pieces = stored(spark, token_pieces(docs, key, text, capacity, tokenizer, forget=forget), "token-pieces")
+    pieces = stored(spark, token_pieces(docs, key, text, capacity, tokenizer, forget=forget), "token-pieces", 1024 if forget else None)
     return assign_sequences(spark, pieces, key, capacity)
 
 
