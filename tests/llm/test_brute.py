@@ -104,7 +104,7 @@ def template(n, common=20, own=3):
 def test_join_of_a_common_passage_offers_no_pairs(spark, monkeypatch):
     seen = []
     plain = J.stored
-    monkeypatch.setattr(J, "stored", lambda sp, df, name: seen.append((name, plain(sp, df, name))) or seen[-1][1])
+    monkeypatch.setattr(J, "stored", lambda sp, df, name, *more: seen.append((name, plain(sp, df, name, *more))) or seen[-1][1])
     rows = template(600) + family(20, 60, 2, 9, 1000)
     got = J.jaccard_join(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), cell_rows=64)[0]
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
