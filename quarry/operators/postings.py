@@ -11,7 +11,7 @@ from quarry.functions.analysis import Analyzer, text_tokens
 from quarry.operators.search import BM25_B, BM25_K1
 
 # Steps that the range of a posting's weight, 0 to 1, is cut into.
-IMPACT_STEPS = 1024
+IMPACT_STEPS = 128
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = text_tokens,
@@ -21,7 +21,8 @@ def postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = t
     All tokens of a document come from one input row, hence from one task, so
     the partial aggregation before the shuffle already collapses each
     (token, document) pair: the shuffle moves one row per posting, and a very
-    common token is spread over as many rows as documents that contain it.
+    common token is spread over as many rows as documents that contain it. Documents
+    that are already dealt by ``id_col`` (``repartition(n, id_col)``) are not shuffled again.
     """
     toks = docs.select(F.col(id_col), analyzer(F.col(text_col)).alias("_t")) \
                .withColumn("doc_len", F.size("_t").cast("bigint"))
@@ -31,19 +32,19 @@ def postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = t
     return out.withColumn("field", F.lit(field_name or text_col))
 
 
-def write_postings(post: DataFrame, path: str, partitions: int, salt_buckets: int | None = None,
+def write_postings(post: DataFrame, path: str, partitions: int | None = None, salt_buckets: int | None = None,
                    id_col: str = "doc_id") -> None:
     """Write a postings table clustered by token.
 
-    Rows are hash-partitioned on ``(token, salt)`` where the salt comes from the
+    Without ``partitions`` each task writes the postings it holds as a segment of its own: no
+    shuffle, and a common token is in as many files as segments hold it. Else rows are hash-partitioned on ``(token, salt)`` where the salt comes from the
     document id, so one very common token is written by up to
     ``salt_buckets`` tasks (all ``partitions``, if not given) instead of one; inside a file rows are sorted by
     token, which lets Parquet min/max statistics skip row groups on a lookup.
     """
-    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt_buckets or partitions))
-    (post.repartition(partitions, F.col("token"), salt)
-         .sortWithinPartitions("token", id_col)
-         .write.mode("overwrite").parquet(path))
+    if partitions:
+        post = post.repartition(partitions, F.col("token"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(salt_buckets or partitions)))
+    post.sortWithinPartitions("token", id_col).write.mode("overwrite").parquet(path)
 
 
 def token_doc_counts(docs: DataFrame, text_col: str, analyzer: Analyzer = text_tokens) -> DataFrame:
@@ -88,12 +89,12 @@ def bm25_postings(post: DataFrame, lengths: DataFrame, tokens: list[str], id_col
     return hits.join(F.broadcast(dfreq), "token").groupBy(id_col).agg(F.sum(part).alias("_score"))
 
 
-def write_impacts(post: DataFrame, lengths: DataFrame, path: str, partitions: int, id_col: str = "doc_id",
+def write_impacts(post: DataFrame, lengths: DataFrame, path: str, partitions: int | None = None, id_col: str = "doc_id",
                   k1: float = BM25_K1, b: float = BM25_B, page_rows: int = 1000) -> None:
     """Write the index of ``top_page``: postings with their weight, blocks of equal weight, and corpus totals.
 
     ``impact`` is the part of a posting's BM25 score that does not depend on the query, between
-    0 and 1. ``postings`` is dealt like ``write_postings``, each file sorted by token and falling impact, in
+    0 and 1. ``postings`` is dealt like ``write_postings`` (without ``partitions`` not at all), each file sorted by token and falling impact, in
     Parquet pages of ``page_rows`` rows, so a scan with a bound on a token's impact reads the
     first pages of the token only. ``blocks`` has, per token and step of impact, how many
     postings there are and the least and greatest impact: at most ``IMPACT_STEPS`` rows a token.
@@ -102,13 +103,14 @@ def write_impacts(post: DataFrame, lengths: DataFrame, path: str, partitions: in
     s = post.sparkSession.read.parquet(f"{path}/totals").select(F.struct("n_docs", "avgdl").alias("s")).scalar()
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("doc_len") / s["avgdl"])
     weighed = post.select("token", id_col, (F.col("tf") / (F.col("tf") + norm)).alias("impact"))
-    (weighed.repartition(partitions, F.col("token"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(partitions)))
-     .sortWithinPartitions("token", F.col("impact").desc(), id_col)
+    if partitions:
+        weighed = weighed.repartition(partitions, F.col("token"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(partitions)))
+    (weighed.sortWithinPartitions("token", F.col("impact").desc(), id_col)
      .write.mode("overwrite").option("parquet.page.row.count.limit", str(page_rows)).parquet(f"{path}/postings"))
     stored = post.sparkSession.read.parquet(f"{path}/postings")
     (stored.groupBy("token", F.floor(F.col("impact") * IMPACT_STEPS).cast("int").alias("step"))
      .agg(F.count(F.lit(1)).alias("n"), F.min("impact").alias("least"), F.max("impact").alias("most"))
-     .repartition(partitions, "token").sortWithinPartitions("token", F.col("step").desc())
+     .sortWithinPartitions("token", F.col("step").desc())
      .write.mode("overwrite").parquet(f"{path}/blocks"))
 
 

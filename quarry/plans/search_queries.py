@@ -16,7 +16,7 @@ from quarry.functions.sql import register_sql_functions
 from quarry.operators.postings import bm25_postings, match_postings, postings, top_page
 from quarry.operators.search import Clause, page, ranked_page, search
 from quarry.operators.stemming import english_analyzer
-from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_index, text_index_path
+from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_impacts_path, text_index
 from quarry.sources.tables import lookup
 
 SEARCH_WORD = "heti"
@@ -26,7 +26,7 @@ TOK = sql_tokens("text")
 def match_not_term(spark, d):
     """Flagship: the best documents saying the word that are not from one source, from the stored index."""
     docs = load(spark, d, "documents").select("doc_id", "source", "text")
-    best = top_page(spark, f"{text_index_path(spark, d)}/impacts", analyze_literal(spark, SEARCH_WORD), digits=6, docs=docs, keep=not_(term("source", "src2")))
+    best = top_page(spark, text_impacts_path(spark, d), analyze_literal(spark, SEARCH_WORD), digits=6, docs=docs, keep=not_(term("source", "src2")))
     return best.select("doc_id", "source", first_line("text").alias("subject"))
 
 
@@ -40,7 +40,7 @@ def ranked_not_term(spark, d):
 
 def bm25_pruned_top10(spark, d):
     """Two words, one of them frequent: the best ten read from the tops of their posting lists."""
-    return top_page(spark, f"{text_index_path(spark, d)}/impacts", analyze_literal(spark, "the heti"), digits=6)
+    return top_page(spark, text_impacts_path(spark, d), analyze_literal(spark, "the heti"), digits=6)
 
 
 def sql_fulltext_page(spark, d):
