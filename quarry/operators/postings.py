@@ -12,6 +12,8 @@ from quarry.operators.search import BM25_B, BM25_K1
 
 # Steps that the range of a posting's weight, 0 to 1, is cut into.
 IMPACT_STEPS = 128
+# Hits whose ids are sent to all tasks, so that the documents stay where they are.
+BROADCAST_IDS = 1_000_000
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = text_tokens,
@@ -69,6 +71,11 @@ def match_postings(post: DataFrame, tokens: list[str], id_col: str = "doc_id") -
     return post.where(F.col("token").isin(tokens)).select(id_col).distinct()
 
 
+def docs_with_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """The documents whose id is in ``ids``. Up to ``broadcast_ids`` ids are broadcast, so no text is shuffled; more are joined by shuffle."""
+    return docs.join(F.broadcast(ids) if ids.count() <= broadcast_ids else ids, id_col, "left_semi")
+
+
 def bm25_postings(post: DataFrame, lengths: DataFrame, tokens: list[str], id_col: str = "doc_id",
                   k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """BM25 ``(id, _score)`` for the documents holding a query token, from the index.

@@ -13,7 +13,7 @@ from quarry.functions.project import (first_line, first_present, format_day, fro
 from quarry.operators.aggs import terms_agg
 from quarry.functions.analysis import analyze_literal
 from quarry.functions.sql import register_sql_functions
-from quarry.operators.postings import bm25_postings, match_postings, postings, top_page
+from quarry.operators.postings import bm25_postings, docs_with_ids, match_postings, postings, top_page
 from quarry.operators.search import Clause, page, ranked_page, search
 from quarry.operators.stemming import english_analyzer
 from quarry.plans.common import URL_HOST_PATH, URL_PATH_ONLY, load, sql_path_tokens, sql_tokens, text_impacts_path, text_index
@@ -217,7 +217,7 @@ def match_postings_q(spark, d):
     docs = load(spark, d, "documents")
     post, _ = text_index(spark, d)
     ids = match_postings(post, analyze_literal(spark, SEARCH_WORD))
-    return docs.join(ids, "doc_id", "left_semi").where(not_(term("source", "src2")))
+    return docs_with_ids(docs, ids).where(not_(term("source", "src2")))
 
 
 def bm25_postings_top10(spark, d):

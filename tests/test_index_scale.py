@@ -5,7 +5,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.postings import postings, write_postings
+from quarry.operators.postings import docs_with_ids, match_postings, postings, write_postings
 from quarry.plans import common
 
 
@@ -45,3 +45,12 @@ def test_segments_follow_the_number_of_words(spark, tmp_dir, monkeypatch):
         assert sorted(map(tuple, post.collect())) == sorted(map(tuple, postings(docs, "doc_id", "text").collect()))
         assert lengths.count() == 1000
         assert 30 < len(glob.glob(f"{common.text_index_path(spark, f'{tmp_dir}/{name}').removeprefix('file:')}/postings/part-*")) <= 40
+
+
+def test_hits_are_fetched_where_they_are(spark, tmp_dir, no_broadcast):
+    docs = _stored(spark, f"{tmp_dir}/d", [(i // 2, "fix" if i % 3 else "no", "s") for i in range(90)])
+    ids = match_postings(postings(docs, "doc_id", "text"), ["fix"])
+    near, far = docs_with_ids(docs, ids), docs_with_ids(docs, ids, broadcast_ids=3)
+    assert "BroadcastHashJoin" in _plan(near) and "SortMergeJoin" in _plan(far)
+    assert sorted(map(tuple, near.collect())) == sorted(map(tuple, far.collect()))
+    assert near.count() == sum(1 for i in range(90) if (2 * (i // 2)) % 3 or (2 * (i // 2) + 1) % 3)
