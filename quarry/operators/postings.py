@@ -183,6 +183,7 @@ def top_page(spark: SparkSession, path: str, tokens: list[str], k: int = 10, dig
     """
     index, wanted = TopPage(spark, path, tokens, id_col), k
     slack = 10.0 ** -digits if digits is not None else 1e-12
+    order = [F.col("_score").desc(), F.col(id_col).asc()]
     while True:
         scores, least = index.scored(wanted, slack)
         if digits is not None:
@@ -190,7 +191,15 @@ def top_page(spark: SparkSession, path: str, tokens: list[str], k: int = 10, dig
         hits = scores if docs is None else docs.join(scores, id_col)
         if keep is not None:
             hits = hits.where(keep)
-        hits = hits.orderBy(F.col("_score").desc(), F.col(id_col).asc()).limit(k)
-        if keep is None or least <= 0 or hits.count() == k:
-            return hits
+        best = hits.select(id_col, "_score").orderBy(*order).limit(k)  # of docs, only the columns of the test are read
+        if docs is None and (keep is None or least <= 0 or best.count() == k):
+            return best
+        if docs is not None:
+            rows = best.collect()
+            if keep is None or least <= 0 or len(rows) == k:
+                break
         wanted *= 8
+    # Only now the other columns, of at most k ids. A repeated id may have rows that the test drops.
+    few = spark.createDataFrame(list({r[id_col]: r for r in rows}.values()), best.schema)
+    hits = docs.where(F.col(id_col).isin([r[id_col] for r in rows])).join(F.broadcast(few), id_col)
+    return (hits if keep is None else hits.where(keep)).orderBy(*order).limit(k)

@@ -5,7 +5,8 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.postings import docs_with_ids, match_postings, postings, write_postings
+from quarry.operators.postings import (bm25_postings, doc_lengths, docs_with_ids, match_postings, postings, top_page,
+                                       write_impacts, write_postings)
 from quarry.plans import common
 
 
@@ -27,6 +28,21 @@ def _stored(spark, path, rows, schema="doc_id long, text string, source string")
     return spark.read.parquet(path)
 
 
+def test_first_page_moves_no_texts(spark, tmp_dir, no_broadcast):
+    rows = [(i // 2, "common " * (1 + i % 5) + "filler " * (i % 40), f"s{i % 7}") for i in range(600)]  # every id twice
+    docs = _stored(spark, f"{tmp_dir}/d", rows)
+    post, lengths = postings(docs, "doc_id", "text"), doc_lengths(docs, "doc_id", "text")
+    write_impacts(post, lengths, f"{tmp_dir}/i")
+    best = {r.doc_id: r.s for r in bm25_postings(post, lengths, ["common"]).select("doc_id", F.round("_score", 6).alias("s")).collect()}
+    for source in (None, "s3", "none"):
+        keep = None if source is None else F.col("source") == source
+        got = top_page(spark, f"{tmp_dir}/i", ["common"], digits=6, docs=docs, keep=keep)
+        want = sorted((-best[i], i) for i, _, s in rows if source in (None, s))[:10]
+        assert [(-r._score, r.doc_id) for r in got.collect()] == want
+        assert got.columns == ["doc_id", "text", "source", "_score"]
+        assert "hashpartitioning(doc_id" not in _plan(got) and "SortMergeJoin" not in _plan(got)
+
+
 def test_segments_are_written_without_a_shuffle(spark, tmp_dir):
     docs = spark.createDataFrame([(i % 50, f"the word{i} the") for i in range(60)], "doc_id long, text string")  # ids repeat
     post = postings(docs.repartition(6, "doc_id"), "doc_id", "text")
